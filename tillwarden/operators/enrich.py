@@ -26,8 +26,13 @@ def user_stats(transactions: DataFrame) -> DataFrame:
 
 def with_user_stats(transactions: DataFrame) -> DataFrame:
     """Each row with its user's statistics; a row without a user has none."""
-    stats = user_stats(transactions)
-    return attach_per_key(transactions, stats, "user_id", "user_transaction_count")
+    return attach_per_key(
+        transactions,
+        user_stats(transactions),
+        "user_id",
+        weight="user_transaction_count",
+        spread="transaction_id",
+    )
 
 
 def merchant_dimension(spark: SparkSession) -> DataFrame:

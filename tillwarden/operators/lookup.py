@@ -15,14 +15,16 @@ def attach_per_key(
     per_key: DataFrame,
     key: str,
     weight: str,
+    spread: str,
     heavy_keys: int = HEAVY_KEYS,
 ) -> DataFrame:
     """Left-join ``per_key`` (one row per ``key``, ``weight`` rows each) to ``rows``.
 
     The ``heavy_keys`` heaviest keys come from a broadcast whose size that limit
-    bounds, whatever the data. Their rows, and rows without a key, are then
-    routed through the shuffle join by a hash of the whole row instead of the
-    key, so they spread evenly. Any other key holds less than one row in
+    bounds, whatever the data. Their rows, and rows without a key, already have
+    their answer, so the shuffle join routes them by ``spread`` and map task
+    instead of the key: evenly, even if they are copies of one row, and the same
+    way when a lost task runs again. Any other key holds less than one row in
     ``heavy_keys``. The top-k and the join read the same aggregate, so its
     shuffle is done once and reused.
     """
@@ -33,11 +35,10 @@ def attach_per_key(
         key, F.xxhash64(key).alias("_route"), F.struct(*values).alias("_light")
     )
 
+    answered = F.col(key).isNull() | F.col("_heavy").isNotNull()
+    anywhere = F.xxhash64(spread, F.spark_partition_id())
     tagged = rows.join(F.broadcast(heavy), key, "left").withColumn(
-        "_route",
-        F.when(
-            F.col(key).isNull() | F.col("_heavy").isNotNull(), F.xxhash64(*rows.columns)
-        ).otherwise(F.xxhash64(key)),
+        "_route", F.when(answered, anywhere).otherwise(F.xxhash64(key))
     )
     joined = tagged.join(light, [key, "_route"], "left")
     found = F.coalesce("_heavy", "_light")

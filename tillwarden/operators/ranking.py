@@ -74,9 +74,13 @@ def distinct_value_ranks(rows: DataFrame, column: str, alias: str) -> DataFrame:
 
 
 def with_percentile(
-    rows: DataFrame, column: str = "amount", alias: str = "amount_percentile"
+    rows: DataFrame,
+    column: str = "amount",
+    alias: str = "amount_percentile",
+    spread: str = "transaction_id",
 ) -> DataFrame:
     """``(rank - 1) / (n - 1)`` ascending, nulls first, ties share; a lone row gets 0."""
-    ranked = attach_per_key(rows, distinct_value_ranks(rows, column, alias), column, "rows_at")
+    ranks = distinct_value_ranks(rows, column, alias)
+    ranked = attach_per_key(rows, ranks, column, weight="rows_at", spread=spread)
     # Nulls rank first, so their share is 0; they match nothing in the join.
     return ranked.withColumn(alias, F.coalesce(alias, F.lit(0.0))).drop("rows_at")

@@ -30,18 +30,24 @@ def train(
     trees: int = 100,
     depth: int = 10,
     iterations: int = 100,
+    partitions: int | None = None,
 ) -> Trained:
     """Fit features and both models on the training rows, judge on the test rows.
 
     Only label and feature vector are kept for the iterations, in memory as far
     as they fit and else on disk; lost blocks are computed again. The label
     follows from three of the features, so a high score is expected.
+    ``partitions`` spreads few large input files over the cores first.
     """
     train_rows, test_rows = learning.split(rows)
     features = learning.feature_stages(cfg).fit(train_rows)
     wanted = [learning.LABEL, "features"]
-    fit_on = features.transform(train_rows).select(*wanted).persist(StorageLevel.MEMORY_AND_DISK)
-    judge_on = features.transform(test_rows).select(*wanted).persist(StorageLevel.MEMORY_AND_DISK)
+    fit_on = features.transform(train_rows).select(*wanted)
+    judge_on = features.transform(test_rows).select(*wanted)
+    if partitions:
+        fit_on = fit_on.repartition(partitions)
+    fit_on = fit_on.persist(StorageLevel.MEMORY_AND_DISK)
+    judge_on = judge_on.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         models, aucs = {}, {}
         for name, estimator in learning.classifiers(trees, depth, iterations).items():

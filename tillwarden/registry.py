@@ -66,30 +66,30 @@ def label_fraud(spark, sf_dir):
 
 @query
 def user_stats(spark, sf_dir):
-    stats = enrich.user_stats(sample.transactions(spark, sf_dir))
+    stats = enrich.user_stats(sample.placeless_transactions(spark, sf_dir))
     return stats.withColumn("user_amount_stddev", F.round("user_amount_stddev", 4))
 
 
 @query
 def amount_percentile(spark, sf_dir):
-    ranked = ranking.with_percentile(sample.transactions(spark, sf_dir))
+    ranked = ranking.with_percentile(sample.placeless_transactions(spark, sf_dir))
     return ranked.select("transaction_id", "amount", "amount_percentile")
 
 
 @query
 def enrich_transactions(spark, sf_dir):
-    return enrich.enrich(sample.full_transactions(spark, sf_dir))
+    return enrich.enrich(sample.landed_transactions(spark, sf_dir))
 
 
 @query
 def merchant_category(spark, sf_dir):
-    rows = enrich.with_merchant_category(sample.transactions(spark, sf_dir))
+    rows = enrich.with_merchant_category(sample.placeless_transactions(spark, sf_dir))
     return rows.select("transaction_id", "merchant_id", "merchant_category")
 
 
 @query
 def calendar_features(spark, sf_dir):
-    rows = sample.transactions(spark, sf_dir).drop("hour_of_day", "is_weekend")
+    rows = sample.placeless_transactions(spark, sf_dir).drop("hour_of_day", "is_weekend")
     return with_calendar_features(rows).select("transaction_id", "hour_of_day", "is_weekend")
 
 
@@ -192,7 +192,7 @@ def alert_severity(spark, sf_dir):
 
 @query
 def alert_rapid(spark, sf_dir):
-    rows = alerts.rapid_alerts(sample.transactions(spark, sf_dir), DAILY)
+    rows = alerts.rapid_alerts(sample.placeless_transactions(spark, sf_dir), DAILY)
     return rows.drop("alert_timestamp")
 
 
@@ -253,14 +253,14 @@ def _warehouse(spark: SparkSession) -> tuple[str, str]:
 def table_roundtrip(spark, sf_dir):
     """Processed rows written to the partitioned table and read back."""
     database, _ = _warehouse(spark)
-    rows = enrich.enrich(sample.full_transactions(spark, sf_dir))
+    rows = enrich.enrich(sample.landed_transactions(spark, sf_dir))
     warehouse.replace_partitions(rows, database, warehouse.PROCESSED)
     return warehouse.table(spark, database, warehouse.PROCESSED)
 
 
 @query
 def row_counts(spark, sf_dir):
-    rows = sample.transactions(spark, sf_dir)
+    rows = sample.placeless_transactions(spark, sf_dir)
     return metrics.row_counts(rows, learning.is_test_row())
 
 
@@ -319,7 +319,7 @@ def ml_features(spark, sf_dir):
 
 @query
 def ml_split(spark, sf_dir):
-    rows = sample.transactions(spark, sf_dir)
+    rows = sample.placeless_transactions(spark, sf_dir)
     return rows.select("transaction_id", learning.is_test_row().alias("is_test"))
 
 
@@ -332,7 +332,7 @@ def ml_string_index(spark, sf_dir):
 
 @query
 def ml_scaled_amount(spark, sf_dir):
-    rows = sample.transactions(spark, sf_dir).select("transaction_id", "amount")
+    rows = sample.placeless_transactions(spark, sf_dir).select("transaction_id", "amount")
     scaling = Pipeline(
         stages=[
             VectorAssembler(inputCols=["amount"], outputCol="features_raw"),
@@ -361,7 +361,8 @@ def _train(spark: SparkSession, sf_dir: str) -> training.Trained:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _trained:
         rows = learning.training_extract(_categorized(spark, sf_dir))
-        _trained[key] = training.train(rows)
+        cores = spark.sparkContext.defaultParallelism
+        _trained[key] = training.train(rows, partitions=cores)
     return _trained[key]
 
 
@@ -403,7 +404,7 @@ def ml_confusion(spark, sf_dir):
 
 @query
 def throughput_hourly(spark, sf_dir):
-    slices = metrics.throughput(sample.transactions(spark, sf_dir))
+    slices = metrics.throughput(sample.placeless_transactions(spark, sf_dir))
     return slices.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 
 

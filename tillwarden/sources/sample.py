@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwarden.config import MERCHANT_CATEGORIES
-from tillwarden.functions import calendar
 from tillwarden.operators.enrich import with_merchant_category
 from tillwarden.schemas import TRANSACTION
+from tillwarden.session import shared_folder
 
 # The channel each kind of event stands for.
 CHANNELS = {
@@ -22,75 +22,76 @@ CHANNELS = {
     "purchase": "pos",
     "error": "atm",
 }
+EVENTS = (
+    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
+    "props STRING"
+)
+CUSTOMER = "c_custkey BIGINT, c_nationkey INT"
+NATION = "n_nationkey INT, n_name STRING"
+
 MERCHANTS = [*MERCHANT_CATEGORIES, "UNKNOWN_MERCHANT"]
 
 
-def _user(number: Column) -> Column:
-    """``user_0007``; longer numbers keep all their digits."""
-    text = number.cast("string")
-    return F.concat(F.lit("user_"), F.lpad(text, F.greatest(F.length(text), F.lit(4)), F.lit("0")))
+def _columns() -> list[str]:
+    """Everything an event tells by itself."""
+    merchants = ", ".join(f"'{m}'" for m in MERCHANTS)
+    channels = " ".join(f"WHEN '{kind}' THEN '{name}'" for kind, name in CHANNELS.items())
+    return [
+        "cast(event_id AS string) AS transaction_id",
+        # Numbers of more than four digits keep all of them.
+        "concat('user_', lpad(user_id, greatest(length(user_id), 4), '0')) AS user_id",
+        "round(value * 25, 2) AS amount",
+        f"array({merchants})[k % {len(MERCHANTS)}] AS merchant_id",
+        "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") AS timestamp",
+        "CASE WHEN k % 2 = 0 THEN 'credit' ELSE 'debit' END AS card_type",
+        f"CASE event_type {channels} END AS channel",
+        "weekday(ts) >= 5 AS is_weekend",
+        "hour(ts) AS hour_of_day",
+        "cast(ts AS timestamp) AS event_time",
+        "cast(ts AS date) AS processing_date",
+    ]
 
 
-def _channel(event_type: Column) -> Column:
-    kinds = iter(CHANNELS.items())
-    kind, channel = next(kinds)
-    choice = F.when(event_type == kind, channel)
-    for kind, channel in kinds:
-        choice = choice.when(event_type == kind, channel)
-    return choice
+def _keyed(events: DataFrame) -> DataFrame:
+    return events.selectExpr("*", "try_cast(get_json_object(props, '$.k') AS int) AS k")
 
 
-def from_events(events: DataFrame, homes: DataFrame) -> DataFrame:
-    """Works on a stream of events too; ``homes`` maps ``c_custkey`` to ``n_name``.
+def _placed(events: DataFrame, sf_dir: str) -> DataFrame:
+    """Events as transactions, with the customer's nation as the location.
 
-    The join carries no hint: Spark broadcasts ``homes`` while it is small, and
-    AQE splits the partitions of busy users once it is not.
+    The joins carry no hint: Spark broadcasts a table while its files are small,
+    and AQE splits the partitions of busy users once ``customer`` is not.
     """
-    k = F.get_json_object("props", "$.k").try_cast("int")
-    merchants = F.array(*[F.lit(m) for m in MERCHANTS])
-    at = F.col("ts")
-    rows = events.withColumn("k", k).join(homes, events["user_id"] == homes["c_custkey"], "left")
-    nowhere = (F.col("event_type") == "error") & (F.col("k") < 10)
-    return rows.select(
-        F.col("event_id").cast("string").alias("transaction_id"),
-        _user(F.col("user_id")).alias("user_id"),
-        F.round(F.col("value") * 25, 2).alias("amount"),
-        F.get(merchants, F.col("k") % len(MERCHANTS)).alias("merchant_id"),
-        F.when(nowhere, "Unknown Location").otherwise(F.col("n_name")).alias("location"),
-        F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
-        F.when(F.col("k") % 2 == 0, "credit").otherwise("debit").alias("card_type"),
-        _channel(F.col("event_type")).alias("channel"),
-        calendar.is_weekend(at).alias("is_weekend"),
-        calendar.hour_of_day(at).alias("hour_of_day"),
-        at.cast("timestamp").alias("event_time"),
-        at.cast("date").alias("processing_date"),
+    read = events.sparkSession.read
+    customer = read.schema(CUSTOMER).parquet(f"{sf_dir}/customer.parquet")
+    nation = read.schema(NATION).parquet(f"{sf_dir}/nation.parquet")
+    return (
+        _keyed(events)
+        .join(customer, F.expr("user_id = c_custkey"), "left")
+        .join(nation, F.expr("c_nationkey = n_nationkey"), "left")
+        .selectExpr(
+            *_columns(),
+            "CASE WHEN event_type = 'error' AND k < 10 THEN 'Unknown Location' ELSE n_name END"
+            " AS location",
+        )
     )
 
 
-def homes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer number to nation name."""
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    return customer.join(
-        nation, customer["c_nationkey"] == nation["n_nationkey"], "left"
-    ).select("c_custkey", "n_name")
+def placeless_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as transactions without a location, for what needs none: no join."""
+    events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    return _keyed(events).selectExpr(*_columns())
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events as transactions, without the merchant category."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return from_events(events, homes(spark, sf_dir))
+    return _placed(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"), sf_dir)
 
 
 def transaction_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows as a stream."""
-    layout = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    events = (
-        spark.readStream.schema(layout)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
-    return from_events(events, homes(spark, sf_dir))
+    only = spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet")
+    return _placed(only.parquet(sf_dir), sf_dir)
 
 
 def full_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,6 +100,18 @@ def full_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*TRANSACTION.names, "event_time", "processing_date")
 
 
+def landed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wire columns written as a raw table first.
+
+    Enrichment goes over its input several times for a column or two; from the
+    written table each pass reads only those, and nothing is parsed again.
+    """
+    folder = shared_folder(spark, "raw")
+    rows = full_transactions(spark, sf_dir).select(*TRANSACTION.names)
+    rows.write.parquet(folder)
+    return spark.read.schema(TRANSACTION).parquet(folder)
+
+
 def wire_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The transactions as JSON text, one message in five damaged or unusual.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -12,6 +13,7 @@ RAW = "transactions_raw"
 PROCESSED = "transactions_processed"
 ALERTS = "fraud_alerts"
 PARTITION = "processing_date"
+FILES_PER_DATE = 4
 
 LAYOUTS = {
     RAW: schemas.TRANSACTION,
@@ -70,13 +72,14 @@ def append_stream(
 
     ``once`` takes what is there now and stops.
     """
-    layout = LAYOUTS[name]
-    writer = (
-        in_layout(rows, name)
-        .writeStream.outputMode("append")
-        .option("checkpointLocation", checkpoint)
-    )
-    if PARTITION in layout.names:
+    rows = in_layout(rows, name)
+    partitioned = PARTITION in rows.columns
+    if partitioned:
+        # A few files per date and batch, not one per date and task.
+        share = F.pmod(F.xxhash64(rows.columns[0]), F.lit(FILES_PER_DATE))
+        rows = rows.repartition(PARTITION, share)
+    writer = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    if partitioned:
         writer = writer.partitionBy(PARTITION)
     if once:
         writer = writer.trigger(availableNow=True)
