@@ -1,0 +1,85 @@
+"""Hand-made rows whose result is known."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from tillwarden import schemas
+
+NOON = "2024-03-01T12:00:00"
+
+# id, amount, location, hour, label, alerts with severity
+BOUNDARY = [
+    ("b01", 5000.00, "X", 12, 0, []),
+    ("b02", 5000.01, "X", 12, 1, [("HIGH_AMOUNT", "LOW")]),
+    ("b03", 10000.00, "X", 12, 1, [("HIGH_AMOUNT", "LOW")]),
+    ("b04", 10000.01, "X", 12, 1, [("HIGH_AMOUNT", "CRITICAL")]),
+    ("b05", 50.00, "Unknown Location", 12, 1, [("UNUSUAL_LOCATION", "MEDIUM")]),
+    ("b06", 1000.00, "X", 3, 0, []),
+    ("b07", 1000.01, "X", 3, 1, [("UNUSUAL_HOUR", "MEDIUM")]),
+    ("b08", 1000.01, "X", 1, 0, []),
+    ("b09", 1000.01, "X", 2, 1, [("UNUSUAL_HOUR", "MEDIUM")]),
+    ("b10", 1000.01, "X", 5, 1, [("UNUSUAL_HOUR", "MEDIUM")]),
+    ("b11", 1000.01, "X", 6, 0, []),
+    (
+        "b12",
+        20000.00,
+        "Unknown Location",
+        4,
+        1,
+        [("HIGH_AMOUNT", "CRITICAL"), ("UNUSUAL_LOCATION", "MEDIUM"), ("UNUSUAL_HOUR", "MEDIUM")],
+    ),
+    ("b13", None, "X", 3, 0, []),
+    ("b14", None, "Unknown Location", 3, 1, [("UNUSUAL_LOCATION", "MEDIUM")]),
+    ("b15", 6000.00, None, None, 1, [("HIGH_AMOUNT", "LOW")]),
+    ("b16", 10.00, "unknown location", 3, 0, []),
+]
+
+
+def wire_row(transaction_id, user_id="u", amount=10.0, location="X", at=NOON, hour=12):
+    """The 11 wire fields in order."""
+    return (
+        transaction_id,
+        user_id,
+        amount,
+        "Amazon",
+        "retail",
+        location,
+        at,
+        "credit",
+        "online",
+        False,
+        hour,
+    )
+
+
+def transactions(spark, rows):
+    return spark.createDataFrame(rows, schemas.TRANSACTION)
+
+
+def boundary(spark):
+    return transactions(
+        spark, [wire_row(i, "u", a, place, NOON, h) for i, a, place, h, _, _ in BOUNDARY]
+    )
+
+
+# user, seconds after midnight, transaction ids
+BURSTS = {
+    "u1": [(0, "r0"), (10, "r10"), (59, "r59")],
+    "u2": [(0, "q0"), (10, "q10"), (20, "q20"), (59, "q59")],
+    "u3": [(58, "s1"), (59, "s2"), (60, "s3"), (61, "s4")],
+    "u4": [(30, "v0"), (30, "v1"), (30, "v2"), (30, "v3")],
+}
+EXPECTED_BURSTS = {("u2", 4, "q59"), ("u4", 4, "v3")}
+
+
+def clock(seconds):
+    return (dt.datetime(2024, 3, 1) + dt.timedelta(seconds=seconds)).isoformat()
+
+
+def burst_rows():
+    return [
+        wire_row(name, user, at=clock(second))
+        for user, events in BURSTS.items()
+        for second, name in events
+    ]

@@ -1,0 +1,143 @@
+"""What the physical plans must and must not contain, whatever the data size."""
+
+from __future__ import annotations
+
+import datetime as dt
+import re
+
+import pytest
+import samples
+from conftest import SMALL
+
+from tillwarden.operators import alerts, enrich, ranking
+from tillwarden.operators.lookup import attach_per_key
+from tillwarden.plans import reports
+from tillwarden.registry import QUERIES
+from tillwarden.sources import sample, warehouse
+
+# These run a job, a fit or a stream before they return.
+EAGER = {
+    "alert_audit_log",
+    "enrich_transactions",
+    "table_roundtrip",
+    "stream_alerts",
+    "stream_notifications",
+    "ml_features",
+    "ml_string_index",
+    "ml_scaled_amount",
+    "ml_auc",
+    "ml_score",
+    "ml_model_selection",
+    "ml_confusion",
+}
+
+
+def plan(rows) -> str:
+    return rows._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Joins as they are once no side is small any more."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
+def test_no_python_and_no_pair_products(name, spark, no_broadcast):
+    text = plan(QUERIES[name](spark, SMALL))
+    assert "Python" not in text and "InPandas" not in text
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER - {"fraud_trend"}))
+def test_windows_without_partitions_see_only_bucket_totals(name, spark, no_broadcast):
+    text = plan(QUERIES[name](spark, SMALL))
+    for window in re.findall(r"Window \[(\w+)\(", text):
+        assert window == "sum"
+    gathered = re.findall(r"windowspecdefinition\((\w+)#\d+ ASC", text)
+    assert set(gathered) <= {"bucket"}
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    """Processed rows of three dates in a partitioned table."""
+    warehouse.create_tables(spark, "plans", str(tmp_path / "tables"))
+    days = ["2024-03-01", "2024-03-02", "2024-03-03"]
+    rows = [samples.wire_row(f"{d}{i}", "u", 6000.0, at=f"{d}T10:00:00") for d in days for i in (1, 2)]
+    warehouse.replace_partitions(
+        enrich.enrich(samples.transactions(spark, rows)), "plans", warehouse.PROCESSED
+    )
+    yield warehouse.table(spark, "plans", warehouse.PROCESSED)
+    spark.sql("DROP DATABASE plans CASCADE")
+
+
+DAY = dt.date(2024, 3, 3)
+
+
+def test_daily_reports_read_one_partition(stored):
+    for report in (reports.hourly_pattern_on, reports.merchant_fraud_on):
+        text = plan(report(stored, DAY))
+        assert "(processing_date#" in text.split("PartitionFilters: [")[1].split("]")[0]
+    assert reports.hourly_pattern_on(stored, DAY).first().total_transactions == 2
+
+
+def test_trailing_reports_prune_partitions(stored):
+    for report in (reports.user_behavior, reports.user_activity, reports.fraud_trend):
+        filters = plan(report(stored, DAY)).split("PartitionFilters: [")[1].split("]")[0]
+        assert ">= 2024-02-02" in filters
+
+
+def test_reports_read_only_their_columns(stored):
+    def columns(report):
+        schema = re.search(r"ReadSchema: struct<([^>]*)>", plan(report)).group(1)
+        return {c.split(":")[0] for c in schema.split(",") if c}
+
+    assert columns(reports.daily_fraud_rate(stored)) == {"is_fraud"}
+    assert columns(reports.time_patterns(stored)) == {"hour_of_day", "is_weekend", "is_fraud"}
+    assert columns(reports.user_activity(stored, DAY)) == {"user_id", "amount", "is_fraud"}
+
+
+def test_rules_reach_the_scan(stored):
+    text = stored.sparkSession._jvm.PythonSQLUtils.explainString(
+        alerts.point_alerts(stored)._jdf.queryExecution(), "formatted"
+    )
+    pushed = re.search(r"PushedFilters: \[(.*)\]", text).group(1)
+    assert "GreaterThan(amount,5000.0)" in pushed
+    assert "EqualTo(location,Unknown Location)" in pushed
+    assert "Exchange" not in text
+
+
+def test_point_alerts_read_the_source_once(spark, small):
+    text = plan(alerts.point_alerts(sample.transactions(spark, small)))
+    assert text.count("events.parquet") == 1
+
+
+def test_top_k_is_not_a_full_sort(stored):
+    assert "TakeOrderedAndProject(limit=20" in plan(reports.top_fraud_users(stored))
+
+
+def test_statistics_are_summed_before_the_shuffle(stored):
+    text = plan(enrich.user_stats(stored))
+    assert text.index("partial_sum") > text.index("Exchange hashpartitioning(user_id")
+
+
+def test_heavy_keys_come_from_a_bounded_broadcast(spark, small, no_broadcast):
+    rows = sample.placeless_transactions(spark, small)
+    text = plan(attach_per_key(rows, enrich.user_stats(rows), "user_id", "user_transaction_count", "transaction_id"))
+    assert "TakeOrderedAndProject(limit=256" in text
+    assert "SortMergeJoin [user_id" in text
+    assert "_route" in text.split("SortMergeJoin")[1].split("\n")[0]
+
+
+def test_percentile_groups_once(spark, small, no_broadcast):
+    """Quantiles, bucket totals and ranks share one shuffle of the distinct amounts."""
+    rows = ranking.with_percentile(sample.placeless_transactions(spark, small))
+    rows.collect()
+    final = plan(rows).split("== Initial Plan ==")[0]
+    made = re.findall(r"(?<!\w)Exchange hashpartitioning\(amount#\d+, \d+\), ENSURE", final)
+    reused = final.count("ReusedExchange")
+    assert len(made) - reused <= 1

@@ -1,0 +1,130 @@
+from __future__ import annotations
+
+import datetime as dt
+import json
+
+import pytest
+import samples
+from pyspark.sql import functions as F
+
+from tillwarden import schemas
+from tillwarden.operators.enrich import enrich
+from tillwarden.plans import batch
+from tillwarden.session import shared_folder
+from tillwarden.sources import warehouse
+
+
+@pytest.fixture
+def database(spark, tmp_path, request):
+    name = "w_" + "".join(c if c.isalnum() else "_" for c in request.node.name.lower())
+    warehouse.create_tables(spark, name, str(tmp_path / "tables"))
+    return name
+
+
+def _day(spark, day, amount=10.0, n=3):
+    rows = [samples.wire_row(f"{day}-{i}", "u", amount, at=f"{day}T10:00:00") for i in range(n)]
+    return enrich(samples.transactions(spark, rows))
+
+
+def test_layouts(spark, database):
+    for name, layout in warehouse.LAYOUTS.items():
+        stored = warehouse.table(spark, database, name).schema
+        assert [(f.name, f.dataType) for f in stored] == [(f.name, f.dataType) for f in layout]
+    warehouse.create_tables(spark, database)
+
+
+def test_rewriting_a_date_leaves_the_others(spark, database):
+    def write(rows):
+        warehouse.replace_partitions(rows, database, warehouse.PROCESSED)
+
+    def stored():
+        rows = warehouse.table(spark, database, warehouse.PROCESSED)
+        return {
+            (str(r.processing_date), r.n, r.a)
+            for r in rows.groupBy("processing_date")
+            .agg(F.count("*").alias("n"), F.max("amount").alias("a"))
+            .collect()
+        }
+
+    write(_day(spark, "2024-03-01"))
+    write(_day(spark, "2024-03-02"))
+    write(_day(spark, "2024-03-02", amount=20.0, n=5))
+    assert stored() == {("2024-03-01", 3, 10.0), ("2024-03-02", 5, 20.0)}
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_columns_are_matched_by_name(spark, database):
+    rows = _day(spark, "2024-03-01").select(*reversed(schemas.PROCESSED.names))
+    warehouse.replace_partitions(rows.withColumn("extra", F.lit(1)), database, warehouse.PROCESSED)
+    assert warehouse.table(spark, database, warehouse.PROCESSED).first().user_id == "u"
+
+
+def _send(folder, number, rows, raw=()):
+    folder.mkdir(exist_ok=True)
+    names = schemas.TRANSACTION.names
+    lines = [json.dumps(dict(zip(names, row))) for row in rows] + list(raw)
+    (folder / f"{number}.txt").write_text("\n".join(lines) + "\n")
+
+
+def test_batch_run_lands_once_and_reports(spark, tmp_path):
+    topic = tmp_path / "topic"
+    rows = [
+        samples.wire_row(f"t{i}", f"u{i % 3}", 6000.0 if i % 4 == 0 else 10.0, at=samples.NOON)
+        for i in range(12)
+    ]
+
+    def run(alerts=False):
+        return batch.run_batch(
+            spark.readStream.text(str(topic)),
+            "w_batch",
+            str(tmp_path / "checkpoint"),
+            dt.date(2024, 3, 1),
+            location=str(tmp_path / "tables"),
+            alerts=alerts,
+        )
+
+    topic.mkdir()
+    assert run() == {}
+    _send(topic, 0, rows[:6])
+    assert run()["daily_summary"].first().total_transactions == 6
+    _send(topic, 1, rows[6:])
+    run()
+    reports = run(alerts=True)
+    assert warehouse.table(spark, "w_batch", warehouse.RAW).count() == 12
+    daily = reports["daily_summary"].collect()
+    assert [(r.total_transactions, r.fraud_transactions) for r in daily] == [(12, 3)]
+    assert daily[0].fraud_rate_percent == 25.0
+    assert daily[0].total_fraud_amount == 18000.0
+    merchants = reports["merchant_fraud"].collect()
+    assert [(r.merchant_id, r.total_transactions) for r in merchants] == [("Amazon", 12)]
+    assert [r.hour_of_day for r in reports["hourly_pattern"].collect()] == [12]
+    alerts = warehouse.table(spark, "w_batch", warehouse.ALERTS)
+    assert alerts.where("alert_type = 'HIGH_AMOUNT'").count() == 3
+    assert alerts.where("alert_type = 'RAPID_TRANSACTIONS'").count() == 3
+
+
+def test_batch_then_training(spark, small, tmp_path):
+    from tillwarden.sources import sample
+
+    topic = tmp_path / "topic"
+    sent = sample.full_transactions(spark, small).select(*schemas.TRANSACTION.names)
+    sent.select(F.to_json(F.struct("*")).alias("value")).coalesce(1).write.text(str(topic))
+    reports, trained = batch.run_batch_and_training(
+        spark.readStream.text(str(topic)),
+        "w_training",
+        str(tmp_path / "checkpoint"),
+        dt.date(2024, 1, 30),
+        str(tmp_path / "models"),
+        location=str(tmp_path / "tables"),
+        trees=5,
+        depth=4,
+        iterations=10,
+    )
+    assert sum(r.total_transactions for r in reports["daily_summary"].collect()) == 1000
+    assert 0.5 < trained.auc <= 1.0
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    folder = shared_folder(spark, "x")
+    assert folder.startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert folder != shared_folder(spark, "x")
