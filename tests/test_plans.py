@@ -18,6 +18,7 @@ from tillwarden.sources import sample, warehouse
 # These run a job, a fit or a stream before they return.
 EAGER = {
     "alert_audit_log",
+    "amount_percentile",
     "enrich_transactions",
     "table_roundtrip",
     "stream_alerts",
@@ -53,13 +54,30 @@ def test_no_python_and_no_pair_products(name, spark, no_broadcast):
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER - {"fraud_trend"}))
-def test_windows_without_partitions_see_only_bucket_totals(name, spark, no_broadcast):
-    text = plan(QUERIES[name](spark, SMALL))
-    for window in re.findall(r"Window \[(\w+)\(", text):
-        assert window == "sum"
-    gathered = re.findall(r"windowspecdefinition\((\w+)#\d+ ASC", text)
-    assert set(gathered) <= {"bucket"}
+def _gathered_by(rows) -> set[str]:
+    """Columns that windows without partitions sort by."""
+    return set(re.findall(r"windowspecdefinition\((\w+)#\d+L? ASC", plan(rows)))
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
+def test_no_rows_are_gathered_in_one_window(name, spark, no_broadcast):
+    finished = {"fraud_trend": {"processing_date"}}
+    assert _gathered_by(QUERIES[name](spark, SMALL)) == finished.get(name, set())
+
+
+def test_percentile_gathers_only_bucket_totals(spark, small, no_broadcast):
+    rows = sample.full_transactions(spark, small)
+    assert _gathered_by(ranking.with_percentile(rows)) == {"bucket"}
+    assert _gathered_by(enrich.enrich(rows)) == {"bucket"}
+
+
+def test_staged_statistics_leave_the_wide_rows_in_place(spark, small, tmp_path):
+    raw = str(tmp_path / "raw")
+    sample.full_transactions(spark, small).write.parquet(raw)
+    rows = enrich.enrich(spark.read.parquet(raw), folder=str(tmp_path / "staged"))
+    assert "Exchange hashpartitioning" not in plan(rows)
+    lazy = enrich.enrich(spark.read.parquet(raw))
+    assert rows.exceptAll(lazy).isEmpty()
 
 
 @pytest.fixture

@@ -11,8 +11,8 @@ from tillwarden import schemas
 from tillwarden.config import DEFAULT_CATEGORY, MERCHANT_CATEGORIES, RuleConfig
 from tillwarden.functions import money, rules
 from tillwarden.functions.calendar import with_event_time
-from tillwarden.operators.lookup import attach_per_key, fixed_table
-from tillwarden.operators.ranking import with_percentile
+from tillwarden.operators.lookup import attach_per_key, fixed_table, stage
+from tillwarden.operators.ranking import distinct_value_ranks, with_percentile
 
 
 def user_stats(transactions: DataFrame) -> DataFrame:
@@ -24,11 +24,13 @@ def user_stats(transactions: DataFrame) -> DataFrame:
     )
 
 
-def with_user_stats(transactions: DataFrame) -> DataFrame:
+def with_user_stats(transactions: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """Each row with its user's statistics; a row without a user has none."""
+    if stats is None:
+        stats = user_stats(transactions)
     return attach_per_key(
         transactions,
-        user_stats(transactions),
+        stats,
         "user_id",
         weight="user_transaction_count",
         spread="transaction_id",
@@ -74,9 +76,18 @@ def enrich(
     transactions: DataFrame,
     processing_date: dt.date | None = None,
     cfg: RuleConfig = RuleConfig(),
+    folder: str | None = None,
 ) -> DataFrame:
-    """Transactions in, the 18 columns of the processed table out."""
-    rows = with_percentile(with_user_stats(transactions))
+    """Transactions in, the 18 columns of the processed table out.
+
+    Lazy without a ``folder``. With one, user statistics and amount ranks are
+    staged below it first; each then reads one or two columns of the input.
+    """
+    stats = user_stats(transactions).drop("user_amount_stddev")
+    stats = stage(stats, folder and f"{folder}/users")
+    ranks = distinct_value_ranks(transactions, "amount", "amount_percentile")
+    ranks = stage(ranks, folder and f"{folder}/ranks")
+    rows = with_percentile(with_user_stats(transactions, stats), ranks=ranks)
     rows = rows.withColumns(
         {
             "is_unusual_amount": F.col("amount") > F.col("user_avg_amount") * cfg.unusual_factor,

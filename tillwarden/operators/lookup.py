@@ -45,6 +45,19 @@ def attach_per_key(
     return joined.select(*rows.columns, *[found[v].alias(v) for v in values])
 
 
+def stage(rows: DataFrame, folder: str | None) -> DataFrame:
+    """Write ``rows`` to a new folder and read them back; without a folder, as they are.
+
+    A written table has a known size, so a join to it is planned as a broadcast
+    while it is small and moves the other side only when it must. It is also
+    computed once, however many steps read it and whichever executors are lost.
+    """
+    if folder is None:
+        return rows
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def fixed_table(
     spark: SparkSession, columns: Sequence[str], rows: Iterable[Sequence[str]]
 ) -> DataFrame:

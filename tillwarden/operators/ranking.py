@@ -78,9 +78,14 @@ def with_percentile(
     column: str = "amount",
     alias: str = "amount_percentile",
     spread: str = "transaction_id",
+    ranks: DataFrame | None = None,
 ) -> DataFrame:
-    """``(rank - 1) / (n - 1)`` ascending, nulls first, ties share; a lone row gets 0."""
-    ranks = distinct_value_ranks(rows, column, alias)
+    """``(rank - 1) / (n - 1)`` ascending, nulls first, ties share; a lone row gets 0.
+
+    ``ranks`` are those of :func:`distinct_value_ranks` if the caller has them.
+    """
+    if ranks is None:
+        ranks = distinct_value_ranks(rows, column, alias)
     ranked = attach_per_key(rows, ranks, column, weight="rows_at", spread=spread)
     # Nulls rank first, so their share is 0; they match nothing in the join.
     return ranked.withColumn(alias, F.coalesce(alias, F.lit(0.0))).drop("rows_at")

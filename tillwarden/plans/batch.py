@@ -11,6 +11,7 @@ from tillwarden.operators.alerts import all_alerts
 from tillwarden.operators.enrich import enrich
 from tillwarden.plans.reports import batch_reports
 from tillwarden.plans.training import Trained, run_training
+from tillwarden.session import shared_folder
 from tillwarden.sources import warehouse
 from tillwarden.sources.messages import decode_transactions
 
@@ -41,7 +42,8 @@ def process(
     raw = warehouse.table(spark, database, warehouse.RAW)
     if raw.isEmpty():
         return False
-    warehouse.replace_partitions(enrich(raw, processing_date, cfg), database, warehouse.PROCESSED)
+    processed = enrich(raw, processing_date, cfg, shared_folder(spark, "enrich"))
+    warehouse.replace_partitions(processed, database, warehouse.PROCESSED, processing_date is None)
     if alerts:
         warehouse.replace_partitions(all_alerts(raw, cfg), database, warehouse.ALERTS)
     return True

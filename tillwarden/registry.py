@@ -22,6 +22,7 @@ from tillwarden import schemas
 from tillwarden.config import RuleConfig
 from tillwarden.functions.calendar import with_calendar_features
 from tillwarden.operators import alerts, enrich, learning, ranking, routing
+from tillwarden.operators.lookup import stage
 from tillwarden.plans import metrics, reports, training
 from tillwarden.session import apply_settings, shared_folder
 from tillwarden.sources import messages, sample, warehouse
@@ -52,6 +53,11 @@ def _categorized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.with_label(sample.full_transactions(spark, sf_dir))
 
 
+def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = sample.landed_transactions(spark, sf_dir)
+    return enrich.enrich(raw, folder=shared_folder(spark, "enrich"))
+
+
 def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.all_alerts(sample.transactions(spark, sf_dir), DAILY)
 
@@ -72,13 +78,15 @@ def user_stats(spark, sf_dir):
 
 @query
 def amount_percentile(spark, sf_dir):
-    ranked = ranking.with_percentile(sample.placeless_transactions(spark, sf_dir))
+    rows = sample.placeless_transactions(spark, sf_dir)
+    ranks = ranking.distinct_value_ranks(rows, "amount", "amount_percentile")
+    ranked = ranking.with_percentile(rows, ranks=stage(ranks, shared_folder(spark, "ranks")))
     return ranked.select("transaction_id", "amount", "amount_percentile")
 
 
 @query
 def enrich_transactions(spark, sf_dir):
-    return enrich.enrich(sample.landed_transactions(spark, sf_dir))
+    return _enriched(spark, sf_dir)
 
 
 @query
@@ -253,7 +261,7 @@ def _warehouse(spark: SparkSession) -> tuple[str, str]:
 def table_roundtrip(spark, sf_dir):
     """Processed rows written to the partitioned table and read back."""
     database, _ = _warehouse(spark)
-    rows = enrich.enrich(sample.landed_transactions(spark, sf_dir))
+    rows = _enriched(spark, sf_dir)
     warehouse.replace_partitions(rows, database, warehouse.PROCESSED)
     return warehouse.table(spark, database, warehouse.PROCESSED)
 

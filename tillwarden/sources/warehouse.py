@@ -44,23 +44,24 @@ def in_layout(rows: DataFrame, name: str) -> DataFrame:
     return rows.select(*LAYOUTS[name].names)
 
 
-def replace_partitions(rows: DataFrame, database: str, name: str) -> None:
+def replace_partitions(
+    rows: DataFrame, database: str, name: str, many_dates: bool = True
+) -> None:
     """Overwrite the dates in ``rows`` and leave the others: a rerun adds no duplicates.
 
-    Rebalancing brings a date's rows together, so a date is a few files and not
-    one per task; AQE splits a date too big for one task.
+    With many dates, rebalancing brings each date's rows together, so a date is
+    a few files and not one per task; AQE splits a date too big for one task.
+    Rows of a single date need no shuffle for that.
     """
     spark = rows.sparkSession
+    rows = in_layout(rows, name)
+    if many_dates:
+        rows = rows.hint("rebalance", PARTITION)
     mode = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(mode)
     spark.conf.set(mode, "dynamic")
     try:
-        (
-            in_layout(rows, name)
-            .hint("rebalance", PARTITION)
-            .write.mode("overwrite")
-            .insertInto(f"{database}.{name}")
-        )
+        rows.write.mode("overwrite").insertInto(f"{database}.{name}")
     finally:
         spark.conf.set(mode, before)
 
