@@ -4,7 +4,7 @@ import json
 
 import pytest
 import samples
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, SparkException
 from pyspark.sql import functions as F
 
 from tillwarden.operators.alerts import all_alerts
@@ -43,6 +43,13 @@ def test_lenient_decode_keeps_what_fits(spark):
     ]
 
 
+def test_decode_can_fail_instead(spark):
+    fits = _messages(spark, '{"transaction_id":"a","amount":1.5}')
+    assert messages.decode_transactions(fits, fail=True).first().amount == 1.5
+    with pytest.raises(SparkException, match="MALFORMED_RECORD_IN_PARSING"):
+        messages.decode_transactions(_messages(spark, "not json"), fail=True).collect()
+
+
 def _rule_message(**changed):
     fields = {
         "transaction_id": "a",

@@ -19,6 +19,8 @@ from tillwarden.sources import sample, warehouse
 EAGER = {
     "alert_audit_log",
     "amount_percentile",
+    "batch_run",
+    "stream_rejects",
     "enrich_transactions",
     "table_roundtrip",
     "stream_alerts",

@@ -296,6 +296,31 @@ ORACLE: dict[str, str] = {
         "CASE m WHEN 0 THEN 'malformed' WHEN 2 THEN 'missing: amount' END AS reject_reason "
         f"FROM {DAMAGED}"
     ),
+    "batch_run": _with(
+        TX,
+        f"""
+        landed AS (
+          SELECT CASE WHEN m > 0 THEN processing_date END AS processing_date,
+            CASE WHEN m > 2 THEN amount END AS amount, CASE WHEN m > 2 THEN c END AS c,
+            CASE WHEN m > 0 THEN location END AS location,
+            CASE WHEN m > 0 THEN hour_of_day END AS hour_of_day
+          FROM {DAMAGED}),
+        judged AS (
+          SELECT *, CASE WHEN amount > 5000 OR location = 'Unknown Location'
+            OR (hour_of_day BETWEEN 2 AND 5 AND amount > 1000) THEN 1 ELSE 0 END AS is_fraud
+          FROM landed)""",
+        select=f"""
+        SELECT processing_date, {COUNTS},
+          CASE WHEN count(c) > 0 THEN {_mean()} END AS avg_transaction_amount,
+          {_cents('sum(CASE WHEN is_fraud = 1 THEN c ELSE 0 END)')} AS total_fraud_amount
+        FROM judged GROUP BY processing_date""",
+    ),
+    "stream_rejects": _tx(
+        "SELECT CASE WHEN m > 0 THEN transaction_id END AS transaction_id, "
+        "CASE WHEN m > 0 THEN user_id END AS user_id, "
+        "CASE m WHEN 0 THEN 'malformed' ELSE 'missing: amount' END AS reject_reason "
+        f"FROM {DAMAGED} WHERE m IN (0, 2)"
+    ),
     "row_counts": _tx(
         f"SELECT count(*) AS total_rows, count(*) FILTER (NOT {SPLIT}) AS train_rows, "
         f"count(*) FILTER ({SPLIT}) AS test_rows FROM tx"

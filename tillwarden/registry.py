@@ -23,7 +23,7 @@ from tillwarden.config import RuleConfig
 from tillwarden.functions.calendar import with_calendar_features
 from tillwarden.operators import alerts, enrich, learning, ranking, routing
 from tillwarden.operators.lookup import stage
-from tillwarden.plans import metrics, reports, training
+from tillwarden.plans import batch, metrics, reports, training
 from tillwarden.session import apply_settings, shared_folder
 from tillwarden.sources import messages, sample, warehouse
 from tillwarden.streaming import detect, monitor
@@ -266,6 +266,20 @@ def table_roundtrip(spark, sf_dir):
     return warehouse.table(spark, database, warehouse.PROCESSED)
 
 
+@query
+def batch_run(spark, sf_dir):
+    """Land a topic of messages, some damaged; enrich; write; the daily report of it all.
+
+    Damaged messages are landed as far as they can be read, under no date if
+    that is what they have lost.
+    """
+    folder = shared_folder(spark, "run")
+    database = f"tillwarden_{uuid.uuid4().hex[:12]}"
+    topic = sample.message_stream(spark, sf_dir)
+    made = batch.run_batch(topic, database, f"{folder}/_checkpoint", AS_OF, f"{folder}/tables")
+    return made["daily_summary"]
+
+
 @query
 def row_counts(spark, sf_dir):
     rows = sample.placeless_transactions(spark, sf_dir)
@@ -304,6 +318,17 @@ def stream_notifications(spark, sf_dir):
     return spark.read.schema(layout).json(f"{folder}/notifications")
 
 
+@query
+def stream_rejects(spark, sf_dir):
+    """Messages the detection stream cannot use, with the reason."""
+    folder = shared_folder(spark, "rejects")
+    detect.start_rejects(
+        sample.message_stream(spark, sf_dir), f"{folder}/rows", f"{folder}/_checkpoint", once=True
+    ).awaitTermination()
+    layout = "transaction_id STRING, user_id STRING, reject_reason STRING"
+    return spark.read.schema(layout).json(f"{folder}/rows")
+
+
 # Learning
 
 

@@ -25,20 +25,27 @@ def to_messages(rows: DataFrame, key: str | None = None) -> DataFrame:
     return rows.select(F.col(key).cast("string").alias("key"), value)
 
 
-def _decode(messages: DataFrame, layout: T.StructType, keep: Sequence[str]) -> DataFrame:
-    with_corrupt = T.StructType([*layout.fields, T.StructField(CORRUPT, T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    data = F.from_json(F.col("value").cast("string"), with_corrupt, options)
+def _decode(
+    messages: DataFrame, layout: T.StructType, keep: Sequence[str], fail: bool = False
+) -> DataFrame:
+    options = {"mode": "FAILFAST"}
+    if not fail:
+        layout = T.StructType([*layout.fields, T.StructField(CORRUPT, T.StringType())])
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    data = F.from_json(F.col("value").cast("string"), layout, options)
     return messages.select(*keep, data.alias("data")).select(*keep, "data.*")
 
 
-def decode_transactions(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def decode_transactions(
+    messages: DataFrame, keep: Sequence[str] = (), fail: bool = False
+) -> DataFrame:
     """The 11 fields, and the raw text of a message that did not fit them.
 
     A field of the wrong type is NULL and the others are kept. ``keep`` carries
-    columns of the message itself along, for example its arrival time.
+    columns of the message itself along, for example its arrival time. With
+    ``fail`` a message that does not fit stops the job instead.
     """
-    return _decode(messages, schemas.TRANSACTION, keep)
+    return _decode(messages, schemas.TRANSACTION, keep, fail)
 
 
 def decode_rule_fields(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -134,3 +134,10 @@ def wire_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.to_json(F.struct(*plain)))
     )
     return rows.select(F.col("user_id").alias("key"), value.alias("value"))
+
+
+def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same messages as a stream, from a folder that stands in for a topic."""
+    folder = shared_folder(spark, "topic")
+    wire_messages(spark, sf_dir).select("value").write.text(folder)
+    return spark.readStream.text(folder)
