@@ -4,23 +4,51 @@ from __future__ import annotations
 
 from math import ceil, sqrt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillwarden.operators.lookup import attach_per_key
 
 
-def _bucket(value: Column, blocks: Column, width: int) -> Column:
-    """How many edges lie below ``value``; NULL sorts first.
+def _quantiles(column: str, steps: int) -> str:
+    """SQL for ``steps`` evenly spaced approximate quantiles, ascending."""
+    places = ", ".join(f"{i / (steps + 1):.8f}D" for i in range(1, steps + 1))
+    return f"percentile_approx({column}, array({places}), {max(10000, 4 * steps)})"
 
-    The ascending edges come in blocks of ``width``: find the last block that
-    starts below the value, then count inside it. Equal values always share a
-    bucket, and the result depends on the value alone.
+
+def _placed(counts: DataFrame, column: str, width: int) -> DataFrame:
+    """Distinct values with their bucket: how many of ``width**2`` edges lie below.
+
+    The edges come in blocks of ``width``: find the last block that starts below
+    the value, then count inside it. NULL sorts first. Equal values always share
+    a bucket, and the result depends on the value alone.
     """
-    block = F.size(F.filter(blocks, lambda edges: edges[0] < value))
-    inside = F.size(F.filter(F.get(blocks, block - 1), lambda edge: edge < value))
-    return F.when(value.isNull(), -1).when(block == 0, 0).otherwise((block - 1) * width + inside)
+    cut = (
+        counts.agg(
+            F.sum("rows_at").alias("n"), F.expr(_quantiles(column, width * width)).alias("edges")
+        )
+        .selectExpr(
+            f"""struct(n, transform(sequence(0, {width - 1}),
+                i -> slice(edges, i * {width} + 1, {width})) AS blocks) AS cut"""
+        )
+        .scalar()
+    )
+    return (
+        counts.withColumn("cut", cut)
+        .selectExpr(
+            "*", f"size(filter(cut.blocks, edges -> edges[0] < {column})) AS blocks_below"
+        )
+        .selectExpr(
+            column,
+            "rows_at",
+            "cut.n",
+            f"""CASE WHEN {column} IS NULL THEN -1 WHEN blocks_below = 0 THEN 0
+                ELSE (blocks_below - 1) * {width}
+                  + size(filter(get(cut.blocks, blocks_below - 1), edge -> edge < {column}))
+                END AS bucket""",
+        )
+    )
 
 
 def distinct_value_ranks(rows: DataFrame, column: str, alias: str) -> DataFrame:
@@ -33,28 +61,8 @@ def distinct_value_ranks(rows: DataFrame, column: str, alias: str) -> DataFrame:
     """
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     width = min(64, ceil(sqrt(4 * partitions)))
-    steps = width * width
     counts = rows.groupBy(column).agg(F.count("*").alias("rows_at"))
-
-    quantiles = F.percentile_approx(
-        column, [i / (steps + 1) for i in range(1, steps + 1)], max(10000, 4 * steps)
-    )
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.lit(width - 1)),
-        lambda i: F.slice("edges", i * width + 1, width),
-    )
-    cut = (
-        counts.agg(F.sum("rows_at").alias("n"), quantiles.alias("edges"))
-        .select(F.struct("n", blocks.alias("blocks")).alias("cut"))
-        .scalar()
-    )
-
-    placed = counts.withColumn("cut", cut).select(
-        column,
-        "rows_at",
-        F.col("cut.n").alias("n"),
-        _bucket(F.col(column), F.col("cut.blocks"), width).alias("bucket"),
-    )
+    placed = _placed(counts, column, width)
     earlier = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     starts = (
         placed.groupBy("bucket")
