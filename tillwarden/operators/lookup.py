@@ -40,7 +40,8 @@ def attach_per_key(
     tagged = rows.join(F.broadcast(heavy), key, "left").withColumn(
         "_route", F.when(answered, anywhere).otherwise(F.xxhash64(key))
     )
-    joined = tagged.join(light, [key, "_route"], "left")
+    # The route goes first: sorting compares it as a number, and it rarely ties.
+    joined = tagged.join(light, ["_route", key], "left")
     found = F.coalesce("_heavy", "_light")
     return joined.select(*rows.columns, *[found[v].alias(v) for v in values])
 
