@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+import datetime as dt
 import json
 
 import pytest
 import samples
-from pyspark.errors import AnalysisException, SparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from tillwarden.functions.calendar import with_event_time
 from tillwarden.operators.alerts import all_alerts
 from tillwarden.sources import kafka, messages
 
@@ -46,7 +48,7 @@ def test_lenient_decode_keeps_what_fits(spark):
 def test_decode_can_fail_instead(spark):
     fits = _messages(spark, '{"transaction_id":"a","amount":1.5}')
     assert messages.decode_transactions(fits, fail=True).first().amount == 1.5
-    with pytest.raises(SparkException, match="MALFORMED_RECORD_IN_PARSING"):
+    with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING"):
         messages.decode_transactions(_messages(spark, "not json"), fail=True).collect()
 
 
@@ -90,6 +92,12 @@ def test_strict_decode_sets_bad_messages_aside(spark):
     assert "event_time" in good.columns
 
 
+def test_text_that_is_no_time_is_null(spark):
+    rows = spark.createDataFrame([("garbage",), (samples.NOON,), (None,)], "timestamp string")
+    found = [r.event_time for r in with_event_time(rows).collect()]
+    assert found == [None, dt.datetime(2024, 3, 1, 12), None]
+
+
 def test_messages_carry_key_and_no_nulls(spark):
     rows = samples.transactions(spark, [samples.wire_row("1", "u9", None)])
     record = messages.to_messages(rows, key="user_id").first()

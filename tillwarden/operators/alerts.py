@@ -67,13 +67,16 @@ def rapid_alerts(
     ``time_column`` is the event time, or the broker's arrival time.
     """
     last = F.max_by("transaction_id", F.struct(time_column, "transaction_id"))
+    slot, start = F.window(time_column, cfg.rapid_window), F.col("slot.start")
+    if not transactions.isStreaming:
+        # Only a stream needs the whole window as its key, to match the watermark.
+        slot, start = slot["start"], F.col("slot")
     bursts = (
         transactions.where(F.col("user_id").isNotNull())
-        .groupBy(F.window(time_column, cfg.rapid_window), "user_id")
+        .groupBy(slot.alias("slot"), "user_id")
         .agg(F.count("*").alias("transaction_count"), last.alias("last_transaction_id"))
         .where(F.col("transaction_count") > cfg.rapid_limit)
     )
-    start = F.col("window.start")
     return bursts.select(
         rules.stable_id(
             F.lit(RAPID_TRANSACTIONS), "user_id", F.date_format(start, "yyyy-MM-dd'T'HH:mm:ss")
