@@ -103,6 +103,20 @@ def test_batch_run_lands_once_and_reports(spark, tmp_path):
     assert alerts.where("alert_type = 'RAPID_TRANSACTIONS'").count() == 3
 
 
+def test_text_of_broken_messages_is_kept(spark, database, tmp_path):
+    topic, rejects = tmp_path / "topic", str(tmp_path / "rejects")
+    _send(topic, 0, [samples.wire_row("ok")], raw=["not json", '{"transaction_id": "x", "amount": "1"}'])
+    for _ in range(2):
+        batch.land(spark.readStream.text(str(topic)), database, str(tmp_path / "c"), rejects)
+    landed = warehouse.table(spark, database, warehouse.RAW).collect()
+    assert sorted(str(r.transaction_id) for r in landed) == ["None", "ok", "x"]
+    assert {r.value for r in spark.read.text(rejects).collect()} == {
+        "not json",
+        '{"transaction_id": "x", "amount": "1"}',
+    }
+    assert spark.read.text(rejects).count() == 2
+
+
 def test_batch_then_training(spark, small, tmp_path):
     from tillwarden.sources import sample
 

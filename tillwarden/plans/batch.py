@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillwarden.config import RuleConfig
 from tillwarden.operators.alerts import all_alerts
@@ -13,17 +14,30 @@ from tillwarden.plans.reports import batch_reports
 from tillwarden.plans.training import Trained, run_training
 from tillwarden.session import shared_folder
 from tillwarden.sources import warehouse
-from tillwarden.sources.messages import decode_transactions
+from tillwarden.sources.messages import CORRUPT, decode_transactions
 
 
-def land(messages: DataFrame, database: str, checkpoint: str) -> None:
+def land(
+    messages: DataFrame, database: str, checkpoint: str, rejects: str | None = None
+) -> None:
     """Append the messages that are new since the last run to the raw table.
 
     ``messages`` is a stream with a ``value`` column. The checkpoint remembers
-    how far the last run got, so nothing is landed twice.
+    how far the last run got, so nothing is landed twice. A message that does
+    not fit the layout is landed as far as it can be read; ``rejects`` is a
+    folder that also gets its text.
     """
     rows = decode_transactions(messages)
     warehouse.append_stream(rows, database, warehouse.RAW, checkpoint, once=True).awaitTermination()
+    if rejects is not None:
+        broken = rows.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"))
+        (
+            broken.writeStream.format("text")
+            .option("checkpointLocation", f"{checkpoint}-rejects")
+            .trigger(availableNow=True)
+            .start(rejects)
+            .awaitTermination()
+        )
 
 
 def process(
@@ -58,11 +72,12 @@ def run_batch(
     processing_date: dt.date | None = None,
     cfg: RuleConfig = RuleConfig(),
     alerts: bool = False,
+    rejects: str | None = None,
 ) -> dict[str, DataFrame]:
     """Tables, landing, enrichment, reports. No reports when there is no data."""
     spark = messages.sparkSession
     warehouse.create_tables(spark, database, location)
-    land(messages, database, checkpoint)
+    land(messages, database, checkpoint, rejects)
     if not process(spark, database, processing_date, cfg, alerts):
         return {}
     return batch_reports(warehouse.table(spark, database, warehouse.PROCESSED), as_of)

@@ -13,7 +13,6 @@ RAW = "transactions_raw"
 PROCESSED = "transactions_processed"
 ALERTS = "fraud_alerts"
 PARTITION = "processing_date"
-FILES_PER_DATE = 4
 
 LAYOUTS = {
     RAW: schemas.TRANSACTION,
@@ -76,9 +75,11 @@ def append_stream(
     rows = in_layout(rows, name)
     partitioned = PARTITION in rows.columns
     if partitioned:
-        # A few files per date and batch, not one per date and task.
-        share = F.pmod(F.xxhash64(rows.columns[0]), F.lit(FILES_PER_DATE))
-        rows = rows.repartition(PARTITION, share)
+        # A date is spread over some of the tasks: not one file per date and task,
+        # and no task with a whole date, or with all copies of one row.
+        tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        place = F.xxhash64(rows.columns[0], F.spark_partition_id())
+        rows = rows.repartition(PARTITION, F.pmod(place, F.lit(max(4, tasks // 16))))
     writer = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if partitioned:
         writer = writer.partitionBy(PARTITION)
