@@ -41,8 +41,20 @@ def _mixed(n, seed):
         _mixed(1500, 2),
         [12.5] * 400 + _mixed(800, 3),
         [float(i) for i in range(2000)],
+        [float(i) for i in range(1, 400)] * 3 + [0.0, -0.0, float("nan"), float("inf"), None],
+    ],
+    ids=[
+        "one",
+        "ties",
+        "nulls",
+        "null-first",
+        "simple",
+        "mixed",
+        "larger",
+        "hot",
+        "distinct",
+        "special-values-not-heavy",
     ],
-    ids=["one", "ties", "nulls", "null-first", "simple", "mixed", "larger", "hot", "distinct"],
 )
 def test_percentile_equals_the_window_function(spark, amounts):
     rows = _amounts(spark, amounts)

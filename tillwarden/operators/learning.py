@@ -29,6 +29,7 @@ FEATURES = [
     "card_type_idx",
 ]
 
+# The columns of the training extract.
 EXTRACT = [
     "transaction_id",
     "user_id",
@@ -121,8 +122,6 @@ def with_classifier(features: PipelineModel, classifier: Model) -> PipelineModel
 
 
 def confusion(scored: DataFrame) -> DataFrame:
-    return (
-        scored.groupBy(F.col(LABEL).alias("label"), F.col("prediction").cast("int").alias("prediction"))
-        .agg(F.count("*").alias("rows"))
-        .orderBy("label", "prediction")
-    )
+    label, predicted = F.col(LABEL).alias("label"), F.col("prediction").cast("int")
+    counts = scored.groupBy(label, predicted.alias("prediction")).agg(F.count("*").alias("rows"))
+    return counts.orderBy("label", "prediction")

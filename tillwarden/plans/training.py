@@ -62,7 +62,7 @@ def train(
 
 def save(spark: SparkSession, trained: Trained, folder: str) -> str:
     """Overwrite the model of that name; append a line about it to ``metadata``."""
-    path = f"{folder.rstrip('/')}/fraud_detection_{trained.name.lower()}"
+    path = f"{folder.rstrip('/')}/{trained.name.lower()}"
     trained.model.write().overwrite().save(path)
     about = spark.range(1).select(
         F.lit(trained.name).alias("model_name"),

@@ -393,7 +393,9 @@ def _train(spark: SparkSession, sf_dir: str) -> training.Trained:
     """Trained once per session and data folder; scoring reuses the model."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _trained:
-        rows = learning.training_extract(_categorized(spark, sf_dir))
+        # The fits go over their rows many times: from a table, as in a real run.
+        extract = learning.training_extract(_categorized(spark, sf_dir))
+        rows = stage(extract, shared_folder(spark, "training"))
         cores = spark.sparkContext.defaultParallelism
         _trained[key] = training.train(rows, partitions=cores)
     return _trained[key]
