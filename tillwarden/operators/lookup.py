@@ -28,22 +28,22 @@ def attach_per_key(
     ``heavy_keys``. The top-k and the join read the same aggregate, so its
     shuffle is done once and reused.
     """
-    values = [c for c in per_key.columns if c not in (key, weight)] + [weight]
+    values = [c for c in per_key.columns if c != key]
     heavy = per_key.orderBy(F.desc(weight), key).limit(heavy_keys)
-    heavy = heavy.select(key, F.struct(*values).alias("_heavy"))
+    heavy = heavy.select(key, *[F.col(v).alias(f"_heavy_{v}") for v in values])
     light = per_key.select(
-        key, F.xxhash64(key).alias("_route"), F.struct(*values).alias("_light")
+        F.xxhash64(key).alias("_route"), key, *[F.col(v).alias(f"_light_{v}") for v in values]
     )
 
-    answered = F.col(key).isNull() | F.col("_heavy").isNotNull()
+    answered = F.col(key).isNull() | F.col(f"_heavy_{weight}").isNotNull()
     anywhere = F.xxhash64(spread, F.spark_partition_id())
     tagged = rows.join(F.broadcast(heavy), key, "left").withColumn(
         "_route", F.when(answered, anywhere).otherwise(F.xxhash64(key))
     )
     # The route goes first: sorting compares it as a number, and it rarely ties.
     joined = tagged.join(light, ["_route", key], "left")
-    found = F.coalesce("_heavy", "_light")
-    return joined.select(*rows.columns, *[found[v].alias(v) for v in values])
+    found = [F.coalesce(f"_heavy_{v}", f"_light_{v}").alias(v) for v in values]
+    return joined.select(*rows.columns, *found)
 
 
 def stage(rows: DataFrame, folder: str | None) -> DataFrame:
