@@ -1,0 +1,139 @@
+"""Quality rules and line dedup, against plain Python."""
+
+from __future__ import annotations
+
+import math
+import re
+from collections import Counter
+
+import edges
+from compare import connect, differences
+from conftest import SMALL
+from pyspark.sql import functions as F
+
+from tillwarden.llm import line_dedup, quality_rules, queries
+from tillwarden.llm.common import ready
+
+
+def counts(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    times, covered = Counter(windows), set()
+    for i, w in enumerate(windows):
+        if times[w] > 1:
+            covered.update(range(i, i + 8))
+    return (
+        len(words),
+        sum(map(len, words)),
+        len(re.findall(r"[#*$%&|<>]", text)),
+        len(lines) - len(set(lines)),
+        len(covered),
+    )
+
+
+def judged(spark, docs, tmp_path, **kinds):
+    rows, q = quality_rules.measured(docs)
+    return quality_rules.judge(rows, q, str(tmp_path / "references"), **kinds)
+
+
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+
+def test_op9_counts_and_base(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    got = queries.QUERIES["op9_quality_rules"](spark, SMALL).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        want = counts(texts[r.doc_id] or "")
+        assert tuple(r[c] for c in COUNTS) == want
+        assert r.base_failed == (want[0] < 20 or 100 * want[4] > 30 * want[0])
+        assert not (r.kept and r.base_failed)
+
+
+def test_op9_tells_junk_from_prose(spark):
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    got = queries.QUERIES["op9_quality_rules"](spark, "/root/testdata/sf0.01").join(labels, "doc_id")
+    share = {r.quality: r.share for r in got.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("share")).collect()}
+    assert share[1] > 0.96 and share[0] < 0.2
+
+
+def test_op9_edges(spark, tmp_path):
+    docs = edges.clashing(edges.frame(ready(spark)), ["_q", "_words", "kept", "n_words", "_language"])
+    got = judged(spark, docs, tmp_path)
+    assert [c for c in got.columns if c in ("doc_id", "text", "_words")] == ["doc_id", "text", "_words"]
+    want = Counter((r[0], r[1], *counts(r[1] or "")) for r in edges.rows())
+    assert Counter((r.doc_id, r.text, *[r[c] for c in COUNTS]) for r in got.collect()) == want
+    none = judged(spark, docs.limit(0), tmp_path / "none", language=None)
+    assert none.count() == 0
+
+
+def test_op9_distance(spark):
+    own, reference = [3, 1, 0, 0, 4], [1, 1, 1, 0, 7]
+    row = spark.range(1).select(
+        quality_rules._distance(
+            *[F.array(*[F.lit(x).cast("long") for x in a]) for a in (own, reference)], 5
+        ).alias("d")
+    )
+    p, r = [x / 8 for x in own], [x / 10 for x in reference]
+    want = sum(
+        a / 2 * math.log2(2 * a / (a + b)) for x, y in zip(p, r, strict=True) for a, b in ((x, y), (y, x)) if a
+    )
+    assert abs(row.first().d - math.sqrt(want)) < 1e-9
+
+
+def removed(rows):
+    """Plain line dedup: (id, text) to the text that is kept."""
+    alike, seen, kept = {}, {}, {}
+    for doc_id, text in rows:
+        alike.setdefault((doc_id, text), None)
+    for doc_id, text in alike:
+        lines = (text or "").split("\n")
+        gone = set()
+        for i in range(len(lines) - 2):
+            window = tuple(lines[i : i + 3])
+            if not re.search(r"[^ \t\r\n\v\f]", "".join(window)):
+                continue
+            if window in seen:
+                gone.update((i, i + 1, i + 2))
+            seen.setdefault(window, (doc_id, i))
+        kept[doc_id, text] = (
+            len(lines),
+            len(gone),
+            "\n".join(x for i, x in enumerate(lines) if i not in gone) if gone else text,
+        )
+    return kept
+
+
+def test_op10_equals_sql(spark):
+    name = "op10_line_dedup"
+    got = queries.QUERIES[name](spark, SMALL)
+    assert differences(got, connect(SMALL), queries.ORACLE[name]) == []
+    assert got.where("n_removed > 0").count() > 0
+
+
+def test_op10_overlaps_and_edges(spark, tmp_path):
+    texts = [
+        "a\nb\nc\nd\nown",
+        "x\na\nb\nc\nd\ny",
+        "a\na\na\na\na",
+        "a\na\na",
+        "b\nc",
+        None,
+        "",
+        "\n\n\n\n",
+        "same\nsame\nq\nsame\nsame\nq",
+        "a\nb\nc\nd\nown",
+        *edges.texts()[10:60],
+    ]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame([*rows, rows[1], (None, "k")], "doc_id long, text string").repartition(3)
+    docs = edges.clashing(docs, ["gone", "doc", "own", "n_removed", "line"])
+    got = line_dedup.dedup_lines(docs, folder=str(tmp_path / "lines"))
+    want = removed([(None, "k"), *rows])
+    found = [(r.doc_id, r.text, r.n_lines, r.n_removed, r.kept_text) for r in got.collect()]
+    assert len(found) == len(rows) + 2
+    for doc_id, text, *rest in found:
+        assert tuple(rest) == want[doc_id, text], (doc_id, text)
+    assert want[1, texts[1]][2] == "x\ny" and want[9, texts[9]][2] == ""
+    assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
