@@ -294,7 +294,7 @@ def _sketch(
     usual, rank = common.value
     usual = usual.view(np.uint64)
     for batch in batches:
-        texts, keys = texts_of(batch), batch.column("doc_id")
+        texts, keys, own = texts_of(batch), batch.column("doc_id"), batch.column("own")
         for a, b in pieces_of([len(t) for t in texts], CHUNK):
             nodes, counts, prefixes, bitmaps = [], [], [], []
             for tokens in shingle_sets(texts[a:b], rules.shingle):
@@ -315,12 +315,13 @@ def _sketch(
             yield pa.RecordBatch.from_arrays(
                 [
                     keys.slice(a, b - a),
+                    own.slice(a, b - a),
                     pa.array(counts, pa.int64()),
                     pa.array(nodes, pa.binary()),
                     pa.array(prefixes, pa.list_(pa.int64())),
                     pa.array(bitmaps, pa.binary()),
                 ],
-                names=["doc_id", "n", "node", "prefix", "bits"],
+                names=["doc_id", "own", "n", "node", "prefix", "bits"],
             )
 
 
@@ -473,9 +474,9 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
 
 
 def jaccard_join(docs: DataFrame, folder: str, rules: JoinRules = JoinRules()) -> DataFrame:
-    """``doc_id, n_shingles, component_id, node, label`` of every row.
+    """``doc_id, own, n_shingles, component_id, node, label`` of every row.
 
-    ``node`` names the set of a row, ``label`` its group; ``component_id`` is the
+    ``own`` is a hash of the row's text, ``node`` names the set of a row, ``label`` its group; ``component_id`` is the
     smallest ``doc_id`` of the group, links being followed. Rows without words
     have no set: they link with nothing, and their own id is their component. So
     is null for rows without an id, unless their group has one. Rows alike in text
@@ -485,9 +486,9 @@ def jaccard_join(docs: DataFrame, folder: str, rules: JoinRules = JoinRules()) -
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     common = spark.sparkContext.broadcast(common_tokens(docs, rules))
-    sketch = docs.mapInArrow(
+    sketch = docs.withColumn("own", F.xxhash64("text")).mapInArrow(
         partial(_sketch, rules=rules, common=common),
-        "doc_id long, n long, node binary, prefix array<long>, bits binary",
+        "doc_id long, own long, n long, node binary, prefix array<long>, bits binary",
     )
     sketch = stage(sketch, f"{folder}/sketch")
     nodes = (
@@ -529,11 +530,50 @@ def jaccard_join(docs: DataFrame, folder: str, rules: JoinRules = JoinRules()) -
     named = named.withColumn("label", F.coalesce("label", "node"))
     smallest = named.groupBy("label").agg(F.min("least").alias("component"))
     named = stage(named.join(smallest, "label").select("node", "label", "component"), f"{folder}/named")
-    found = sketch.select("doc_id", "n", "node").join(named, "node", "left")
+    found = sketch.select("doc_id", "own", "n", "node").join(named, "node", "left")
     return found.select(
         "doc_id",
+        "own",
         F.col("n").alias("n_shingles"),
         F.coalesce("component", "doc_id").alias("component_id"),
         "node",
         "label",
     )
+
+
+def one_of_each(docs: DataFrame, folder: str, rules: JoinRules = JoinRules()) -> DataFrame:
+    """``docs`` with one row of each group of :func:`jaccard_join`, that of the smallest id.
+
+    Null ids come last, and among rows of one id the smallest hash of the text
+    counts; of rows alike in id and text any one stays. Rows without words all
+    stay. Columns are as they were. What goes is looked up by id and hash, so the
+    documents are shuffled only if that list is long.
+    """
+    joined = stage(jaccard_join(docs, folder, rules), f"{folder}/joined")
+    grouped = joined.where("label is not null").withColumn(
+        "place", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "own")
+    )
+    first = grouped.groupBy("label").agg(F.min("place").alias("first"), F.count("*").alias("rows"))
+    several = first.where("rows > 1").drop("rows")
+    judged = stage(
+        grouped.join(several, "label").select("place", (F.col("place") == F.col("first")).alias("stays")),
+        f"{folder}/judged",
+    )
+    key = [F.col("place.doc_id").alias("_key_id"), F.col("place.own").alias("_key_own")]
+    gone = judged.where(~F.col("stays")).select(*key).distinct()
+    # Rows of which a copy, alike in id and text, stays too.
+    copied = judged.where("stays").groupBy("place").count().where("count > 1").select(*key)
+    gone, copied = stage(gone, f"{folder}/gone"), stage(copied, f"{folder}/copied")
+
+    def listed(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        keys = hint_if_small(keys)
+        same = rows["doc_id"].cast("long").eqNullSafe(keys["_key_id"]) & (
+            F.xxhash64(rows["text"].cast("string")) == keys["_key_own"]
+        )
+        return rows.join(keys, same, how)
+
+    kept = listed(docs, gone, "left_anti")
+    if copied.limit(1).count() == 0:
+        return kept
+    single = listed(kept, copied, "left_semi").dropDuplicates(["doc_id", "text"])
+    return listed(kept, copied, "left_anti").unionByName(single)
