@@ -81,8 +81,9 @@ def dedup_lines(docs: DataFrame, size: int = WINDOW, folder: str | None = None)
     text that loses no line is as it was. Texts of fewer than ``size`` lines have
     no window and lose nothing. Rows alike in ``doc_id`` and text get one result;
     documents are ordered by ``doc_id`` (null first), then by a hash of the text.
-    Columns that ``docs`` has under the new names are replaced. With a ``folder``
-    the removed lines are written there first: a plan then knows their size.
+    Columns that ``docs`` has under the new names are replaced. The texts are
+    shuffled once, by id and hash. With a ``folder`` the removed lines are written
+    there first, so that a lost executor does not find them again.
     """
     later = repeated_windows(windows(docs, size))
     covered = F.array_distinct(
@@ -104,7 +105,8 @@ def dedup_lines(docs: DataFrame, size: int = WINDOW, folder: str | None = None)
     same = docs["doc_id"].cast("long").eqNullSafe(F.col(doc)) & (
         F.xxhash64(docs["text"]) == F.col(own)
     )
-    rows = docs.join(removed, same, "left")
+    # The list grows with the documents, so the plan is the same at every size.
+    rows = docs.join(removed.hint("merge"), same, "left")
     lines = _lines(F.col("text"))
     kept = F.array_join(
         F.filter(
