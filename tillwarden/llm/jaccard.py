@@ -167,14 +167,15 @@ class Tree:
 
 
 def leaf_pairs(
-    one: Tree, other: Tree, rules: JoinRules
+    one: Tree, other: Tree, rules: JoinRules, joined: Joined | None = None
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Member pairs that may overlap enough, leaf by leaf, with the overlap's bound.
 
     Both trees are walked together. A pair of tree nodes is dropped if its sizes
     are too far apart or its common bits, with the smaller excess, too few. At two
     resolutions of bitmaps only the sizes are used; sets that link differ little
-    in size, so that is rare.
+    in size, so that is rare. Members that are ``joined`` already are passed over,
+    whole tree nodes at a time where they can be.
     """
     same = one is other
     waiting = [(one.root, other.root)]
@@ -188,6 +189,8 @@ def leaf_pairs(
             limit = min(limit, common + min(excess, excess2))
         if not rules.enough(limit, one.sizes[low], other.sizes[low2]):
             continue
+        if joined and joined.all_one(one.order[low:high], other.order[low2:high2]):
+            continue
         if same and x == y and children:
             first, second = children
             waiting += [(first, first), (second, second), (first, second)]
@@ -212,23 +215,21 @@ def leaf_pairs(
                 yield one.order[low + i], other.order[low2 + j], limits[i, j]
 
 
-class Forest:
-    """Which members are linked, as sets that merge."""
+class Joined:
+    """Which members are connected: those of one number."""
 
     def __init__(self, size: int):
-        self.above = list(range(size))
+        self.number = np.arange(size)
+
+    def all_one(self, a: np.ndarray, b: np.ndarray) -> bool:
+        mine, theirs = self.number[a], self.number[b]
+        return bool((mine == mine[0]).all() and (theirs == mine[0]).all())
 
-    def root(self, i: int) -> int:
-        while self.above[i] != i:
-            self.above[i] = self.above[self.above[i]]
-            i = self.above[i]
-        return i
+    def apart(self, a, b):
+        return self.number[a] != self.number[b]
 
-    def merge(self, i: int, j: int) -> bool:
-        i, j = self.root(i), self.root(j)
-        if i != j:
-            self.above[max(i, j)] = min(i, j)
-        return i != j
+    def join(self, a: int, b: int) -> None:
+        self.number[self.number == self.number[b]] = self.number[a]
 
 
 def trees_of(sizes: np.ndarray, bitmaps, sides: np.ndarray) -> list[tuple[Tree, Tree]]:
@@ -243,35 +244,40 @@ def trees_of(sizes: np.ndarray, bitmaps, sides: np.ndarray) -> list[tuple[Tree,
     return [(Tree(sizes, bitmaps, first), Tree(sizes, bitmaps, second))]
 
 
-def may_link(sizes: np.ndarray, bitmaps, sides: np.ndarray, rules: JoinRules) -> np.ndarray:
-    """Which members have a partner the sizes and bitmaps do not rule out."""
-    found = np.zeros(len(sizes), bool)
+def may_link(sizes: np.ndarray, bitmaps, sides: np.ndarray, rules: JoinRules) -> list[tuple[int, int]]:
+    """Pairs that connect all members whose sizes and bitmaps do not rule a link out."""
     ordered = np.sort(sizes)
     if not rules.enough(ordered[:-1], ordered[:-1], ordered[1:]).any():
-        return found
+        return []
+    joined, made = Joined(len(sizes)), []
     for one, other in trees_of(sizes, bitmaps, sides):
-        for i, j, _ in leaf_pairs(one, other, rules):
-            found[i] = found[j] = True
-    return found
+        for i, j, _ in leaf_pairs(one, other, rules, joined):
+            apart = joined.apart(i, j)
+            while apart.any():
+                i, j = i[apart], j[apart]
+                made.append((int(i[0]), int(j[0])))
+                joined.join(i[0], j[0])
+                apart = joined.apart(i, j)
+    return made
 
 
-def links(tokens: list[np.ndarray], sides, rules: JoinRules) -> list[tuple[int, int]]:
+def links(tokens: list[np.ndarray], sides: np.ndarray, rules: JoinRules) -> list[tuple[int, int]]:
     """Links that connect what the block's links connect, without those inside a group.
 
     Pairs of a leaf are compared with the largest bound first; a pair that is
     connected already is not compared.
     """
     sizes = np.array([len(t) for t in tokens])
-    forest, made = Forest(len(tokens)), []
+    joined, made = Joined(len(tokens)), []
     for one, other in trees_of(sizes, [bitmap(t) for t in tokens], sides):
-        for i, j, limit in leaf_pairs(one, other, rules):
+        for i, j, limit in leaf_pairs(one, other, rules, joined):
             for p in np.argsort(-limit, kind="stable"):
                 a, b = int(i[p]), int(j[p])
-                if forest.root(a) == forest.root(b):
+                if not joined.apart(a, b):
                     continue
                 overlap = len(np.intersect1d(tokens[a], tokens[b], assume_unique=True))
                 if rules.enough(overlap, sizes[a], sizes[b]):
-                    forest.merge(a, b)
+                    joined.join(a, b)
                     made.append((a, b))
     return made
 
@@ -338,60 +344,59 @@ def _token_sets(batches: Iterator[pa.RecordBatch], rules: JoinRules) -> Iterator
             )
 
 
-def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[dict[str, list]]:
-    """Runs of rows of one token and block pair, of partitions sorted by them."""
+def _groups(
+    batches: Iterator[pa.RecordBatch], names: list[str]
+) -> Iterator[tuple[np.ndarray, dict[str, list]]]:
+    """Runs of rows of one key and block pair, of partitions sorted by them.
+
+    With each comes 0 for members of the first block of the pair, 1 for those of
+    the second.
+    """
+
+    def made() -> tuple[np.ndarray, dict[str, list]]:
+        return (np.array(held["block"]) != key[1]).astype(np.int64), held
+
     held, key = defaultdict(list), None
     for batch in batches:
-        columns = [batch.column(n).to_pylist() for n in ("token", "one", "other", *names)]
+        columns = [batch.column(n).to_pylist() for n in ("key", "one", "other", "block", *names)]
         for row in zip(*columns, strict=True):
             if row[:3] != key:
                 if key is not None:
-                    yield held
+                    yield made()
                 held, key = defaultdict(list), row[:3]
-            held["key"] = key
-            for name, value in zip(names, row[3:], strict=True):
+            for name, value in zip(("block", *names), row[3:], strict=True):
                 held[name].append(value)
     if key is not None:
-        yield held
+        yield made()
 
 
-def _sides(group: dict) -> np.ndarray:
-    """0 for members of the first block of the pair, 1 for those of the second."""
-    return (np.array(group["block"]) != group["key"][1]).astype(np.int64)
+def _edges(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict(
+        {
+            "a": pa.array([a for a, _ in found], pa.binary()),
+            "b": pa.array([b for _, b in found], pa.binary()),
+        }
+    )
 
 
 def _light(batches: Iterator[pa.RecordBatch], rules: JoinRules) -> Iterator[pa.RecordBatch]:
-    rows: list[tuple] = []
-
-    def made() -> pa.RecordBatch:
-        columns = zip(*rows, strict=True)
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-        arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-        rows.clear()
-        return pa.RecordBatch.from_arrays(arrays, names=["token", "one", "other", "block", "node"])
-
-    for group in _groups(batches, ["block", "node", "n", "bits"]):
-        sizes = np.array(group["n"])
+    found: list[tuple[bytes, bytes]] = []
+    for sides, group in _groups(batches, ["node", "n", "bits"]):
         bitmaps = [np.frombuffer(b, np.uint64) for b in group["bits"]]
-        for i in np.flatnonzero(may_link(sizes, bitmaps, _sides(group), rules)):
-            rows.append((*group["key"], group["block"][i], group["node"][i]))
-        if len(rows) > 10_000:
-            yield made()
-    if rows:
-        yield made()
+        pairs = may_link(np.array(group["n"]), bitmaps, sides, rules)
+        found += [(group["node"][i], group["node"][j]) for i, j in pairs]
+        if len(found) > 10_000:
+            yield _edges(found)
+            found = []
+    if found:
+        yield _edges(found)
 
 
 def _exact(batches: Iterator[pa.RecordBatch], rules: JoinRules) -> Iterator[pa.RecordBatch]:
-    for group in _groups(batches, ["block", "node", "tokens"]):
-        sets = [np.frombuffer(t, np.uint64) for t in group["tokens"]]
-        made = links(sets, _sides(group), rules)
+    for sides, group in _groups(batches, ["node", "tokens"]):
+        made = links([np.frombuffer(t, np.uint64) for t in group["tokens"]], sides, rules)
         if made:
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "a": pa.array([group["node"][i] for i, _ in made], pa.binary()),
-                    "b": pa.array([group["node"][j] for _, j in made], pa.binary()),
-                }
-            )
+            yield _edges([(group["node"][i], group["node"][j]) for i, j in made])
 
 
 # The join.
@@ -422,9 +427,9 @@ def common_tokens(docs: DataFrame, rules: JoinRules) -> tuple[np.ndarray, np.nda
 
 
 def in_blocks(entries: DataFrame, rules: JoinRules) -> DataFrame:
-    """Entries of a token with more than a block of nodes go to every pair of its blocks.
+    """Entries of a ``key`` with more than a block of nodes go to every pair of its blocks.
 
-    ``held`` is the number of nodes of the token. Each pair of blocks is a group
+    ``held`` is the number of nodes of the key. Each pair of blocks is a group
     of bounded size of its own, ``one <= other``.
     """
     blocks = F.ceil(F.col("held") / rules.block).cast("int")
@@ -438,7 +443,7 @@ def in_blocks(entries: DataFrame, rules: JoinRules) -> DataFrame:
 
 def _by_group(rows: DataFrame) -> DataFrame:
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = ["token", "one", "other"]
+    keys = ["key", "one", "other"]
     return rows.repartition(parts, *keys).sortWithinPartitions(*keys)
 
 
@@ -508,20 +513,25 @@ def jaccard_join(docs: DataFrame, folder: str, rules: JoinRules = JoinRules()) -
     # Only nodes in a shared token's group carry their bitmap on.
     shared = stage(entries.join(shared, "token"), f"{folder}/shared")
     carried = shared.join(nodes.select("node", "n", "bits"), "node")
-    grouped = _by_group(in_blocks(carried, rules))
-    maybe = grouped.select("token", "one", "other", "block", "node", "n", "bits").mapInArrow(
-        partial(_light, rules=rules), "token long, one int, other int, block int, node binary"
+    grouped = _by_group(in_blocks(carried.withColumnRenamed("token", "key"), rules))
+    maybe = grouped.select("key", "one", "other", "block", "node", "n", "bits").mapInArrow(
+        partial(_light, rules=rules), "a binary, b binary"
     )
-    maybe = stage(maybe, f"{folder}/maybe")
 
-    # The tokens of nodes that may link are made again from one of their texts.
-    wanted = maybe.select("node").distinct().join(nodes.select("node", "least"), "node")
-    wanted = stage(wanted.select("node", "least"), f"{folder}/wanted")
+    # Whatever links is connected by pairs that may: these families are compared
+    # exactly, each set sent once unless its family has more than a block.
+    families = stage(components(maybe, f"{folder}/maybe"), f"{folder}/families")
+    families = families.union(families.select("label", "label").distinct())
+    sizes = families.groupBy("label").agg(F.count("*").alias("held"))
+    wanted = families.join(sizes, "label").join(nodes.select("node", "least"), "node")
+    wanted = stage(wanted.select("node", "label", "held", "least"), f"{folder}/wanted")
+    # Sets are made again, each from one of its texts.
     ids = hint_if_small(wanted.select(F.col("least").alias("doc_id")).distinct())
     again = docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
     sets = again.select("text").mapInArrow(partial(_token_sets, rules=rules), "node binary, tokens binary")
     sets = stage(sets.groupBy("node").agg(F.first("tokens").alias("tokens")), f"{folder}/sets")
-    pairs = _by_group(maybe.join(sets, "node").select("token", "one", "other", "block", "node", "tokens"))
+    members = in_blocks(wanted.select(F.col("label").alias("key"), "node", "held"), rules)
+    pairs = _by_group(members.join(sets, "node").select("key", "one", "other", "block", "node", "tokens"))
     edges = pairs.mapInArrow(partial(_exact, rules=rules), "a binary, b binary")
     labels = components(edges, f"{folder}/components")
 
