@@ -20,7 +20,7 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwarden.llm.common import hint_if_small, pieces_of, texts_of
@@ -29,7 +29,7 @@ from tillwarden.operators.lookup import stage
 CHUNK = 1 << 20
 LEAF = 32
 SMALLEST_BITMAP = 256
-LARGEST_BITMAP = 1 << 17
+LARGEST_BITMAP = 1 << 18
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
@@ -119,9 +119,9 @@ def node_of(tokens: np.ndarray) -> bytes:
 
 
 def bitmap(tokens: np.ndarray) -> np.ndarray:
-    """One bit per token, by its low bits; at least two bits of room per token."""
+    """One bit per token, by its low bits; at least four bits of room per token."""
     bits = SMALLEST_BITMAP
-    while bits < 2 * len(tokens) and bits < LARGEST_BITMAP:
+    while bits < 4 * len(tokens) and bits < LARGEST_BITMAP:
         bits *= 2
     flags = np.zeros(bits, np.uint8)
     flags[(tokens & np.uint64(bits - 1)).astype(np.int64)] = 1
@@ -331,17 +331,28 @@ def _sketch(
             )
 
 
+PLACE = ["key", "one", "other", "block", "seat"]
+
+
 def _token_sets(batches: Iterator[pa.RecordBatch], rules: JoinRules) -> Iterator[pa.RecordBatch]:
+    """The tokens of members, where they are to be compared; copies in a task once."""
+    made = set()
     for batch in batches:
-        texts = texts_of(batch)
+        texts, nodes = texts_of(batch), batch.column("node").to_pylist()
+        places = list(zip(*[batch.column(c).to_pylist() for c in PLACE], strict=True))
         for a, b in pieces_of([len(t) for t in texts], CHUNK):
-            sets = [s for s in shingle_sets(texts[a:b], rules.shingle) if len(s)]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "node": pa.array([node_of(s) for s in sets], pa.binary()),
-                    "tokens": pa.array([s.tobytes() for s in sets], pa.binary()),
-                }
-            )
+            rows, sets = [], []
+            for i, tokens in enumerate(shingle_sets(texts[a:b], rules.shingle), a):
+                # Another text of the same id is another node.
+                if places[i] not in made and len(tokens) and node_of(tokens) == nodes[i]:
+                    made.add(places[i])
+                    rows.append(i)
+                    sets.append(tokens.tobytes())
+            if rows:
+                kept = batch.select(PLACE).take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays(
+                    [*kept.columns, pa.array(sets, pa.binary())], names=[*PLACE, "tokens"]
+                )
 
 
 def _groups(
@@ -370,21 +381,18 @@ def _groups(
         yield made()
 
 
-def _edges(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(
-        {
-            "a": pa.array([a for a, _ in found], pa.binary()),
-            "b": pa.array([b for _, b in found], pa.binary()),
-        }
+        {"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())}
     )
 
 
 def _light(batches: Iterator[pa.RecordBatch], rules: JoinRules) -> Iterator[pa.RecordBatch]:
-    found: list[tuple[bytes, bytes]] = []
-    for sides, group in _groups(batches, ["node", "n", "bits"]):
+    found: list[tuple[int, int]] = []
+    for sides, group in _groups(batches, ["seat", "n", "bits"]):
         bitmaps = [np.frombuffer(b, np.uint64) for b in group["bits"]]
         pairs = may_link(np.array(group["n"]), bitmaps, sides, rules)
-        found += [(group["node"][i], group["node"][j]) for i, j in pairs]
+        found += [(group["seat"][i], group["seat"][j]) for i, j in pairs]
         if len(found) > 10_000:
             yield _edges(found)
             found = []
@@ -393,10 +401,12 @@ def _light(batches: Iterator[pa.RecordBatch], rules: JoinRules) -> Iterator[pa.R
 
 
 def _exact(batches: Iterator[pa.RecordBatch], rules: JoinRules) -> Iterator[pa.RecordBatch]:
-    for sides, group in _groups(batches, ["node", "tokens"]):
-        made = links([np.frombuffer(t, np.uint64) for t in group["tokens"]], sides, rules)
+    for sides, group in _groups(batches, ["seat", "tokens"]):
+        seats, first = np.unique(group["seat"], return_index=True)
+        sets = [np.frombuffer(group["tokens"][i], np.uint64) for i in first]
+        made = links(sets, sides[first], rules)
         if made:
-            yield _edges([(group["node"][i], group["node"][j]) for i, j in made])
+            yield _edges([(int(seats[i]), int(seats[j])) for i, j in made])
 
 
 # The join.
@@ -433,7 +443,7 @@ def in_blocks(entries: DataFrame, rules: JoinRules) -> DataFrame:
     of bounded size of its own, ``one <= other``.
     """
     blocks = F.ceil(F.col("held") / rules.block).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    own = F.pmod(F.xxhash64("seat"), blocks).cast("int")
     rows = entries.withColumn("blocks", blocks).withColumn("block", own)
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return rows.withColumns(
@@ -448,7 +458,7 @@ def _by_group(rows: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame, folder: str) -> DataFrame:
-    """``node`` and ``label`` (the smallest node it is connected to) of every linked node.
+    """``seat`` and ``label`` (the smallest seat it is connected to) of every linked node.
 
     Each round hangs the larger neighbours of every node on its smallest one, and
     then all others; trees get flat in a number of rounds that grows with the
@@ -475,7 +485,7 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
         if now == before:
             break
         before = now
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
+    return edges.select(F.col("a").alias("seat"), F.col("b").alias("label"))
 
 
 def jaccard_join(docs: DataFrame, folder: str, rules: JoinRules = JoinRules()) -> DataFrame:
@@ -506,38 +516,46 @@ def jaccard_join(docs: DataFrame, folder: str, rules: JoinRules = JoinRules()) -
             F.first("bits").alias("bits"),
         )
     )
-    nodes = stage(nodes, f"{folder}/nodes")
-
-    entries = nodes.select("node", F.explode("prefix").alias("token"))
-    shared = entries.groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
-    # Only nodes in a shared token's group carry their bitmap on.
-    shared = stage(entries.join(shared, "token"), f"{folder}/shared")
-    carried = shared.join(nodes.select("node", "n", "bits"), "node")
-    grouped = _by_group(in_blocks(carried.withColumnRenamed("token", "key"), rules))
-    maybe = grouped.select("key", "one", "other", "block", "node", "n", "bits").mapInArrow(
-        partial(_light, rules=rules), "a binary, b binary"
+    # A number is less to send than a node's name; it is written with the node.
+    nodes = stage(nodes.withColumn("seat", F.monotonically_increasing_id()), f"{folder}/nodes")
+
+    entries = nodes.select("seat", "n", F.explode("prefix").alias("key"))
+    held = entries.groupBy("key").agg(F.count("*").alias("held")).where("held > 1")
+    shared = stage(entries.join(held, "key"), f"{folder}/shared")
+    # Only nodes in a shared token's group carry their bitmap on, and of groups of
+    # one block only those with a neighbour of nearly their size.
+    lone = F.when(F.col("held") > rules.block, F.col("seat")).otherwise(-1)
+    by_size = Window.partitionBy("key", "lone").orderBy("n")
+    near = (F.lag("n").over(by_size) * 100 >= F.col("n") * rules.percent) | (
+        F.col("n") * 100 >= F.lead("n").over(by_size) * rules.percent
+    )
+    close = shared.withColumn("lone", lone).withColumn("near", near).where("near or lone >= 0")
+    carried = close.drop("lone", "near").join(nodes.select("seat", "bits"), "seat")
+    grouped = _by_group(in_blocks(carried, rules))
+    maybe = grouped.select("key", "one", "other", "block", "seat", "n", "bits").mapInArrow(
+        partial(_light, rules=rules), "a long, b long"
     )
 
     # Whatever links is connected by pairs that may: these families are compared
-    # exactly, each set sent once unless its family has more than a block.
-    families = stage(components(maybe, f"{folder}/maybe"), f"{folder}/families")
-    families = families.union(families.select("label", "label").distinct())
+    # exactly, each set sent once unless its family has more than a block. Sets
+    # are made again, each from a text of its smallest id.
+    families = components(maybe, f"{folder}/maybe")
+    families = stage(families.union(families.select("label", "label").distinct()), f"{folder}/families")
     sizes = families.groupBy("label").agg(F.count("*").alias("held"))
-    wanted = families.join(sizes, "label").join(nodes.select("node", "least"), "node")
-    wanted = stage(wanted.select("node", "label", "held", "least"), f"{folder}/wanted")
-    # Sets are made again, each from one of its texts.
-    ids = hint_if_small(wanted.select(F.col("least").alias("doc_id")).distinct())
-    again = docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
-    sets = again.select("text").mapInArrow(partial(_token_sets, rules=rules), "node binary, tokens binary")
-    sets = stage(sets.groupBy("node").agg(F.first("tokens").alias("tokens")), f"{folder}/sets")
-    members = in_blocks(wanted.select(F.col("label").alias("key"), "node", "held"), rules)
-    pairs = _by_group(members.join(sets, "node").select("key", "one", "other", "block", "node", "tokens"))
-    edges = pairs.mapInArrow(partial(_exact, rules=rules), "a binary, b binary")
+    wanted = families.join(sizes, "label").join(nodes.select("seat", "node", "least"), "seat")
+    wanted = wanted.select(F.col("label").alias("key"), "seat", "node", "least", "held")
+    members = hint_if_small(stage(in_blocks(wanted, rules), f"{folder}/members"))
+    again = docs.join(members, docs["doc_id"].eqNullSafe(members["least"]))
+    sets = again.select("text", "node", *PLACE).mapInArrow(
+        partial(_token_sets, rules=rules),
+        "key long, one int, other int, block int, seat long, tokens binary",
+    )
+    edges = _by_group(sets).mapInArrow(partial(_exact, rules=rules), "a long, b long")
     labels = components(edges, f"{folder}/components")
 
     # The smallest id of each group: of a node's rows, then of a label's nodes.
-    named = nodes.select("node", "least").join(labels, "node", "left")
-    named = named.withColumn("label", F.coalesce("label", "node"))
+    named = nodes.select("node", "seat", "least").join(labels, "seat", "left")
+    named = named.withColumn("label", F.coalesce("label", "seat"))
     smallest = named.groupBy("label").agg(F.min("least").alias("component"))
     named = stage(named.join(smallest, "label").select("node", "label", "component"), f"{folder}/named")
     found = sketch.select("doc_id", "own", "n", "node").join(named, "node", "left")
