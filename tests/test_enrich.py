@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+
 import datetime as dt
 import random
 
@@ -164,4 +166,19 @@ def test_money_does_not_depend_on_order(spark):
     )
     assert tuple(none.first()) == (None, None)
     odd = spark.createDataFrame([(float("nan"),), (1.0,)], "amount double")
-    assert odd.select(money.mean("amount").alias("m")).first().m == 1.0
+    assert math.isnan(odd.select(money.mean("amount").alias("m")).first().m)
+
+
+def test_money_loses_no_amount(spark):
+    rows = spark.createDataFrame(
+        [("big", 1e18), ("big", 1.0), ("cents", 10.005), ("small", 0.004), ("huge", 1e300), ("huge", None)],
+        "user string, amount double",
+    )
+    made = rows.groupBy("user").agg(money.mean("amount").alias("m"), money.total("amount").alias("t"))
+    found = {r.user: (r.m, r.t) for r in made.collect()}
+    assert found == {
+        "big": ((1e18 + 1.0) / 2, 1e18 + 1.0),
+        "cents": (10.005, 10.005),
+        "small": (0.004, 0.004),
+        "huge": (1e300, 1e300),
+    }

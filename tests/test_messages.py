@@ -126,3 +126,11 @@ def test_kafka_needs_its_connector(spark, read):
     """Without the connector on the classpath Spark says what is missing."""
     with pytest.raises(AnalysisException, match="(?i)kafka"):
         read(spark, "nowhere:9092")
+
+
+def test_a_time_that_is_no_time_is_listed_and_kept(spark):
+    text = '{"transaction_id":"t","user_id":"u","amount":6000,"merchant_id":"m","location":"X","timestamp":"yesterday","hour_of_day":3}'
+    topic = spark.createDataFrame([(text,)], "value string")
+    good, rejects = messages.split_valid(messages.decode_rule_fields(topic))
+    assert good.first().event_time is None and good.first().amount == 6000
+    assert rejects.first().reject_reason == "unreadable: timestamp"

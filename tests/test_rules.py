@@ -127,3 +127,10 @@ def test_only_critical_alerts_call_for_a_response(spark):
     )
     rows = routing.immediate_responses(both).collect()
     assert [(r.alert_id, r.action) for r in rows] == [("a", "IMMEDIATE_RESPONSE")]
+
+
+def test_alerts_without_transaction_id_have_ids_of_their_own(spark):
+    rows = [samples.wire_row(None, u, a) for u, a in (("u", 6000.0), ("v", 6000.0), ("u", 7000.0), (None, 7000.0))]
+    frame = samples.transactions(spark, [*rows, samples.wire_row("t", "u", 6000.0)])
+    first, again = ({r.alert_id for r in alerts.point_alerts(frame).collect()} for _ in range(2))
+    assert len(first) == 5 and first == again

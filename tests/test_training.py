@@ -139,3 +139,28 @@ def test_response_time(spark):
     assert [(r.alert_type, r.p50_seconds, r.p99_seconds) for r in found] == [
         ("HIGH_AMOUNT", 10.0, 30.0)
     ]
+
+
+def test_missing_numbers_are_filled_and_no_row_is_lost(spark, rows):
+    odd = rows.limit(40).withColumns(
+        {
+            "amount": F.when(F.rand(1) < 0.5, F.lit(float("nan"))).when(F.rand(2) < 0.5, F.lit(-5.0)),
+            "hour_of_day": F.lit(None).cast("int"),
+            "is_weekend": F.lit(None).cast("boolean"),
+            "location": F.lit(None).cast("string"),
+            "transaction_id": F.concat(F.lit("odd"), "transaction_id"),
+        }
+    )
+    mixed = rows.unionByName(odd)
+    made = training.train(mixed, **QUICK)
+    assert made.filled_rows == learning.split(odd)[0].count()
+    scored = made.model.transform(odd)
+    assert scored.where("prediction IN (0.0, 1.0)").count() == 40
+    assert scored.where("amount IS NULL OR isnan(amount) OR amount = -5").count() == 40
+
+
+def test_the_fit_does_not_depend_on_how_rows_come(rows):
+    one = training.train(rows.repartition(2), **QUICK, rows_per_partition=200)
+    other = training.train(rows.repartition(5), **QUICK, rows_per_partition=200)
+    assert one.aucs["RandomForest"] == other.aucs["RandomForest"]
+    assert abs(one.aucs["LogisticRegression"] - other.aucs["LogisticRegression"]) < 1e-9

@@ -142,3 +142,15 @@ def test_shared_folder_comes_from_the_session(spark):
     folder = shared_folder(spark, "x")
     assert folder.startswith(spark.conf.get("spark.checkpoint.dir"))
     assert folder != shared_folder(spark, "x")
+
+
+def test_two_run_dates_leave_every_row_once(spark, database):
+    raw = [samples.wire_row(f"t{i}", "u", 10.0, at=f"2024-03-0{1 + i % 3}T10:00:00") for i in range(9)]
+    rows = spark.createDataFrame(raw, schemas.TRANSACTION)
+    rows.write.mode("append").insertInto(f"{database}.{warehouse.RAW}")
+    for day in (dt.date(2024, 3, 30), dt.date(2024, 3, 31), None):
+        assert batch.process(spark, database, day)
+        stored = warehouse.table(spark, database, warehouse.PROCESSED)
+        assert stored.count() == 9
+        dates = {r.processing_date for r in stored.select("processing_date").distinct().collect()}
+        assert dates == {day} if day else len(dates) == 3

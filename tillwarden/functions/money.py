@@ -1,9 +1,9 @@
-"""Sums and means of two-decimal amounts that do not depend on row order.
+"""Sums and means of amounts that lose no value and do not depend on row order.
 
 Doubles add up differently for every partitioning, so a mean that ends in half
-a cent could round either way on a rerun. Whole cents in a BIGINT add exactly,
-keep the aggregation buffer primitive, and raise on overflow instead of
-returning a wrong total.
+a cent could round either way on a rerun. Ordinary amounts are added as
+decimals, exactly and as they are, sub-cent parts included. NaN, infinite and
+very large amounts are added as doubles: no amount is left out.
 """
 
 from __future__ import annotations
@@ -11,22 +11,37 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Amounts below this are added as decimals of 26 digits before the point; a sum
+# that needs more raises.
+LARGE = 1e16
+EXACT = "decimal(38,12)"
 
-def cents(amount: str | Column) -> Column:
-    """Whole cents; NULL for NaN and for amounts no BIGINT can hold."""
-    column = F.col(amount) if isinstance(amount, str) else amount
-    return F.rint(column * 100).try_cast("bigint")
+
+# A mean is one division of whole numbers where amounts have up to four decimals,
+# and so as near as a double can be.
+PARTS = 10_000
+
+
+def _sums(amount: str | Column) -> tuple[Column, Column, Column]:
+    """The exact sum of ordinary amounts, the sum of all others, and how many there are."""
+    x = F.col(amount) if isinstance(amount, str) else amount
+    ordinary = F.abs(x) < LARGE  # NaN compares as larger than any number
+    exact = F.coalesce(F.sum(F.when(ordinary, x).cast(EXACT)), F.lit(0).cast(EXACT))
+    other = F.coalesce(F.sum(F.when(~ordinary, x)), F.lit(0.0))
+    return exact, other, F.count(x)
 
 
 def total(amount: str | Column) -> Column:
-    """Exact sum as DOUBLE."""
-    return F.sum(cents(amount)) / F.lit(100)
+    """The sum as DOUBLE; NULL when there is no amount, NaN when one is NaN."""
+    exact, other, n = _sums(amount)
+    return F.when(n > 0, exact.cast("double") + other)
 
 
 def mean(amount: str | Column) -> Column:
     """Mean over the non-null amounts; NULL when there is none."""
-    whole = cents(amount)
-    return F.try_divide(F.sum(whole).cast("double"), F.count(whole) * 100)
+    exact, other, n = _sums(amount)
+    whole = (exact * PARTS).cast("double")
+    return F.try_divide(whole, n * PARTS) + F.try_divide(other, n)
 
 
 def rounded_mean(amount: str | Column) -> Column:

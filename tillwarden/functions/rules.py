@@ -55,6 +55,17 @@ def severity(alert_type: Column, amount: Column, cfg: RuleConfig) -> Column:
     )
 
 
+def row_id(key: str, *others: str) -> Column:
+    """An id by the alert type and a row's key; without a key, by all its other fields.
+
+    The second form keeps nulls apart from text and fields apart from each other.
+    """
+    fields = F.to_json(F.struct("alert_type", *others), {"ignoreNullFields": "false"})
+    return F.when(F.col(key).isNotNull(), stable_id("alert_type", key)).otherwise(
+        F.sha2(fields, 256)
+    )
+
+
 def stable_id(*parts: str | Column) -> Column:
     """The same alert gets the same id on every rerun."""
     return F.sha2(F.concat_ws("|", *parts), 256)

@@ -50,7 +50,9 @@ def point_alerts(
     )
     return alerts.withColumns(
         {
-            "alert_id": rules.stable_id("alert_type", "transaction_id"),
+            "alert_id": rules.row_id(
+                "transaction_id", "user_id", "amount", "merchant_id", "location", "timestamp"
+            ),
             "alert_timestamp": F.current_timestamp(),
             "severity": rules.severity(F.col("alert_type"), F.col("amount"), cfg),
         }

@@ -48,16 +48,35 @@ def training_extract(processed: DataFrame) -> DataFrame:
     return processed.where(F.col(LABEL).isNotNull()).select(*EXTRACT)
 
 
+# What the models see of numbers that may be missing; the rows keep their own.
+FILLED = {"amount": "amount_filled", "hour_of_day": "hour_filled", "is_weekend": "weekend_filled"}
+
+
+def needs_filling() -> Column:
+    """Whether a number the models need is missing, NaN or infinite."""
+    finite = F.abs("amount") < float("inf")
+    known = F.col("hour_of_day").isNotNull() & F.col("is_weekend").isNotNull()
+    return ~(F.coalesce(finite, F.lit(False)) & known)
+
+
 def derive(cfg: RuleConfig = RuleConfig()) -> SQLTransformer:
-    """The computed features as a stage, so that a saved model scores raw rows."""
+    """The computed features as a stage, so that a saved model scores raw rows.
+
+    An amount that is missing, NaN or infinite counts as 0, a missing hour as -1,
+    a missing weekend as no; the logarithm of an amount of -1 or less as 0.
+    """
     return SQLTransformer(
         statement=f"""
             SELECT *,
-                   log1p(amount) AS amount_log,
-                   cast(amount > {cfg.feature_high_amount} AS int) AS is_high_amount,
-                   cast(hour_of_day >= {cfg.night_from} OR hour_of_day <= {cfg.night_to} AS int)
-                       AS is_night_transaction
-            FROM __THIS__"""
+                   if(amount_filled > -1, log1p(amount_filled), 0D) AS amount_log,
+                   cast(amount_filled > {cfg.feature_high_amount} AS int) AS is_high_amount,
+                   cast(coalesce(hour_of_day >= {cfg.night_from} OR hour_of_day <= {cfg.night_to}, false)
+                       AS int) AS is_night_transaction
+            FROM (SELECT *,
+                      if(coalesce(abs(amount) < double('infinity'), false), amount, 0D) AS amount_filled,
+                      coalesce(hour_of_day, -1) AS hour_filled,
+                      coalesce(is_weekend, false) AS weekend_filled
+                  FROM __THIS__)"""
     )
 
 
@@ -71,7 +90,9 @@ def feature_stages(cfg: RuleConfig = RuleConfig()) -> Pipeline:
         stages=[
             derive(cfg),
             string_indexer(),
-            VectorAssembler(inputCols=FEATURES, outputCol="features_raw"),
+            VectorAssembler(
+                inputCols=[FILLED.get(f, f) for f in FEATURES], outputCol="features_raw"
+            ),
             StandardScaler(inputCol="features_raw", outputCol="features"),
         ]
     )

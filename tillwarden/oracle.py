@@ -74,7 +74,8 @@ COUNTS = (
 
 STATS = """
 stats AS (
-  SELECT user_id, cast(sum(c) AS double) / (100 * count(c)) AS user_avg_amount,
+  SELECT user_id, round(cast(sum(cast(amount AS decimal(18, 4))) AS double) * 10000)
+      / (10000 * count(amount)) AS user_avg_amount,
     count(*) AS user_transaction_count, stddev_samp(amount) AS sd
   FROM tx GROUP BY user_id)"""
 
@@ -341,6 +342,15 @@ ORACLE: dict[str, str] = {
         FROM tx {INDEX_JOINS}""",
     ),
     "ml_split": _tx(f"SELECT transaction_id, {SPLIT} AS is_test FROM tx"),
+    "ml_score": _tx(f"""
+        SELECT transaction_id, is_fraud, true AS prediction_valid, true AS probability_valid,
+          true AS agrees
+        FROM tx WHERE {SPLIT}"""),
+    "ml_confusion": _tx(f"""
+        SELECT is_fraud AS label, count(*) AS rows FROM tx WHERE {SPLIT} GROUP BY is_fraud"""),
+    "ml_model_selection": """
+        SELECT model_name, true AS better_than_chance, true AS chosen_by_rule
+        FROM (VALUES ('RandomForest'), ('LogisticRegression')) names(model_name)""",
     "ml_string_index": _with(
         TX, INDEXES, select=f"SELECT transaction_id, {INDEX_COLUMNS} FROM tx {INDEX_JOINS}"
     ),

@@ -49,17 +49,19 @@ def process(
 ) -> bool:
     """Rebuild the processed table from the raw one; False when that is empty.
 
-    User means and percentiles look at the whole history, so every date is
-    rebuilt. ``alerts`` also rebuilds the alert table, for a warehouse without
+    User means and percentiles look at the whole history, so the whole table is
+    replaced: it has one row per raw row, whatever the run date. Should a run
+    break off meanwhile, the next one rebuilds the table from the raw one. ``alerts`` also rebuilds the alert table, for a warehouse without
     a running alert stream: one table must not have both writers.
     """
     raw = warehouse.table(spark, database, warehouse.RAW)
     if raw.isEmpty():
         return False
     processed = enrich(raw, processing_date, cfg, shared_folder(spark, "enrich"))
-    warehouse.replace_partitions(processed, database, warehouse.PROCESSED, processing_date is None)
+    many_dates = processing_date is None
+    warehouse.replace_partitions(processed, database, warehouse.PROCESSED, many_dates, whole=True)
     if alerts:
-        warehouse.replace_partitions(all_alerts(raw, cfg), database, warehouse.ALERTS)
+        warehouse.replace_partitions(all_alerts(raw, cfg), database, warehouse.ALERTS, whole=True)
     return True
 
 
@@ -90,9 +92,15 @@ def run_batch_and_training(
     as_of: dt.date,
     model_folder: str,
     location: str | None = None,
+    processing_date: dt.date | None = None,
+    cfg: RuleConfig = RuleConfig(),
+    alerts: bool = False,
+    rejects: str | None = None,
     **training: int,
 ) -> tuple[dict[str, DataFrame], Trained | None]:
-    """A batch run, then training on the table it wrote."""
-    reports = run_batch(messages, database, checkpoint, as_of, location)
+    """A batch run, then training on the table it wrote, by the same rules."""
+    reports = run_batch(
+        messages, database, checkpoint, as_of, location, processing_date, cfg, alerts, rejects
+    )
     processed = warehouse.table(messages.sparkSession, database, warehouse.PROCESSED)
-    return reports, run_training(processed, model_folder, **training)
+    return reports, run_training(processed, model_folder, cfg, **training)

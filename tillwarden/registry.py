@@ -386,19 +386,10 @@ def ml_auc(spark, sf_dir):
     return rows.agg(F.count("*").alias("rows")).withColumn("auc", F.round(F.lit(auc), 6))
 
 
-_trained: dict[tuple[str, str], training.Trained] = {}
-
-
 def _train(spark: SparkSession, sf_dir: str) -> training.Trained:
-    """Trained once per session and data folder; scoring reuses the model."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _trained:
-        # The fits go over their rows many times: from a table, as in a real run.
-        extract = learning.training_extract(_categorized(spark, sf_dir))
-        rows = stage(extract, shared_folder(spark, "training"))
-        cores = spark.sparkContext.defaultParallelism
-        _trained[key] = training.train(rows, partitions=cores)
-    return _trained[key]
+    """The fits go over their rows many times: from a table, as in a real run."""
+    extract = learning.training_extract(_categorized(spark, sf_dir))
+    return training.train(stage(extract, shared_folder(spark, "training")))
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -409,29 +400,42 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ml_model_selection(spark, sf_dir):
+    """What SQL can follow of the choice: the names, useful scores, the strict rule."""
     trained = _train(spark, sf_dir)
+    forest, regression = (trained.aucs[n] for n in ("RandomForest", "LogisticRegression"))
     layout = T.StructType(
         [
             T.StructField("model_name", T.StringType()),
-            T.StructField("auc", T.DoubleType()),
-            T.StructField("chosen", T.BooleanType()),
+            T.StructField("better_than_chance", T.BooleanType()),
+            T.StructField("chosen_by_rule", T.BooleanType()),
         ]
     )
-    results = [(name, auc, name == trained.name) for name, auc in trained.aucs.items()]
+    wins = {"RandomForest": forest > regression, "LogisticRegression": forest <= regression}
+    results = [
+        (name, 0.5 < auc <= 1, wins[name] == (name == trained.name))
+        for name, auc in trained.aucs.items()
+    ]
     return spark.createDataFrame(results, layout)
 
 
 @query
 def ml_score(spark, sf_dir):
-    fraud_probability = vector_to_array("probability")[1].alias("fraud_probability")
+    """Every test row scored; whether its prediction and probability are sound."""
+    likely = vector_to_array("probability")[1]
     return _scored(spark, sf_dir).select(
-        "transaction_id", "is_fraud", "prediction", fraud_probability
+        "transaction_id",
+        "is_fraud",
+        F.col("prediction").isin(0.0, 1.0).alias("prediction_valid"),
+        likely.between(0.0, 1.0).alias("probability_valid"),
+        ((likely > 0.5) == (F.col("prediction") == 1.0)).alias("agrees"),
     )
 
 
 @query
 def ml_confusion(spark, sf_dir):
-    return learning.confusion(_scored(spark, sf_dir))
+    """The confusion matrix summed by label: no scored row is left out."""
+    matrix = learning.confusion(_scored(spark, sf_dir))
+    return matrix.groupBy("label").agg(F.sum("rows").alias("rows"))
 
 
 # Metrics

@@ -86,8 +86,14 @@ def with_reject_reason(
 def split_valid(
     decoded: DataFrame, required: Sequence[str] = schemas.RULE_FIELDS
 ) -> tuple[DataFrame, DataFrame]:
-    """Usable rows, and the rest with the reason: a bad message never stops the job."""
+    """Usable rows, and what cannot be used with the reason: a bad message never stops the job.
+
+    A row whose time is no time is in both: its own alerts can be raised, but no
+    event-time window counts it, and the rejects say so.
+    """
     judged = with_reject_reason(decoded, required)
-    usable = F.col("reject_reason").isNull()
-    good = with_event_time(judged.where(usable).drop("reject_reason", CORRUPT))
-    return good, judged.where(~usable)
+    good = with_event_time(judged.where("reject_reason IS NULL").drop("reject_reason", CORRUPT))
+    unreadable = F.col("event_time").isNull() & F.col("timestamp").isNotNull()
+    reason = F.coalesce("reject_reason", F.when(unreadable, "unreadable: timestamp"))
+    rejects = with_event_time(judged).withColumn("reject_reason", reason)
+    return good, rejects.where(F.col("reject_reason").isNotNull()).drop("event_time")

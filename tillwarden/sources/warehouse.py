@@ -44,10 +44,14 @@ def in_layout(rows: DataFrame, name: str) -> DataFrame:
 
 
 def replace_partitions(
-    rows: DataFrame, database: str, name: str, many_dates: bool = True
+    rows: DataFrame, database: str, name: str, many_dates: bool = True, whole: bool = False
 ) -> None:
     """Overwrite the dates in ``rows`` and leave the others: a rerun adds no duplicates.
 
+    ``whole`` replaces the table, dates that ``rows`` lack included. A rebuild of
+    all rows needs that: under a run date, rows would else stay under the dates of
+    earlier runs as well.
+
     With many dates, rebalancing brings each date's rows together, so a date is
     a few files and not one per task; AQE splits a date too big for one task.
     Rows of a single date need no shuffle for that.
@@ -58,7 +62,7 @@ def replace_partitions(
         rows = rows.hint("rebalance", PARTITION)
     mode = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
+    spark.conf.set(mode, "static" if whole else "dynamic")
     try:
         rows.write.mode("overwrite").insertInto(f"{database}.{name}")
     finally:

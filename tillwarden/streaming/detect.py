@@ -45,10 +45,11 @@ def start_to_table(
     cfg: RuleConfig = RuleConfig(),
     lateness: str = LATENESS,
     once: bool = False,
+    time_column: str = "event_time",
 ) -> StreamingQuery:
     """Append the alerts to the alert table."""
-    good, _ = usable_transactions(messages)
-    alerts = detect(good, cfg, lateness)
+    good, _ = usable_transactions(messages, time_column)
+    alerts = detect(good, cfg, lateness, time_column)
     return warehouse.append_stream(alerts, database, warehouse.ALERTS, checkpoint, once)
 
 
@@ -58,18 +59,23 @@ def start_to_kafka(
     checkpoint: str,
     cfg: RuleConfig = RuleConfig(),
     lateness: str = LATENESS,
+    time_column: str = "event_time",
 ) -> StreamingQuery:
     """Publish the alerts as JSON."""
-    good, _ = usable_transactions(messages)
-    alerts = detect(good, cfg, lateness).drop(warehouse.PARTITION)
+    good, _ = usable_transactions(messages, time_column)
+    alerts = detect(good, cfg, lateness, time_column).drop(warehouse.PARTITION)
     return send_stream(alerts, servers, ALERTS, checkpoint)
 
 
 def start_rejects(
-    messages: DataFrame, folder: str, checkpoint: str, once: bool = False
+    messages: DataFrame,
+    folder: str,
+    checkpoint: str,
+    once: bool = False,
+    time_column: str = "event_time",
 ) -> StreamingQuery:
     """Keep unusable messages with the reason, next to the running detection."""
-    _, rejects = usable_transactions(messages)
+    _, rejects = usable_transactions(messages, time_column)
     writer = rejects.writeStream.format("json").option("checkpointLocation", checkpoint)
     if once:
         writer = writer.trigger(availableNow=True)
