@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tillwarden.llm.common import Memo, texts_of
 from tillwarden.operators.lookup import stage
 
-WORDS_KEPT = 500_000
+WORDS_KEPT = 300_000
 # A text spreads one step over thousands of buckets; this makes up for it.
 WORD_RATE = 20.0
 END = 0  # the bucket every text has once, so that an empty text has a score
@@ -126,9 +126,15 @@ def train(examples: list[tuple[int, np.ndarray, np.ndarray]], how: Training) ->
 
 
 def _train(key: tuple[pa.Scalar, ...], table: pa.Table, how: Training) -> pa.Table:
-    rows = sorted(table.to_pylist(), key=lambda r: (r["turn"], r["quality"], r["buckets"]))
+    # Arrays are views of the table: as Python objects they would be ten times as large.
+    table = table.sort_by("turn").combine_chunks()
+    labels = table.column("quality").to_pylist()
+    lists = [table.column(n).chunk(0) for n in ("buckets", "weights")]
+    buckets, weights = (a.values.to_numpy() for a in lists)
+    stops = lists[0].offsets.to_numpy()
     examples = [
-        (r["quality"], np.array(r["buckets"]), np.array(r["weights"], np.float64)) for r in rows
+        (label, buckets[i:j], weights[i:j])
+        for label, i, j in zip(labels, stops, stops[1:], strict=False)
     ]
     return pa.table({"weights": pa.array([train(examples, how).tobytes()], pa.binary())})
 
