@@ -522,6 +522,15 @@ def jaccard_join(docs: DataFrame, folder: str, rules: JoinRules = JoinRules()) -
     entries = nodes.select("seat", "n", F.explode("prefix").alias("key"))
     held = entries.groupBy("key").agg(F.count("*").alias("held")).where("held > 1")
     shared = stage(entries.join(held, "key"), f"{folder}/shared")
+    # Tokens held by the same nodes (those of a passage, of a pair of copies) are one
+    # group: the least of them stands for all. The names of node sets have 128 bits.
+    sets = shared.groupBy("key").agg(
+        F.first("held").alias("held"),
+        F.bit_xor(F.xxhash64("seat")).alias("one"),
+        F.bit_xor(F.xxhash64("seat", F.lit(1))).alias("other"),
+    )
+    standing = sets.groupBy("held", "one", "other").agg(F.min("key").alias("key")).select("key")
+    shared = shared.join(standing, "key", "left_semi")
     # Only nodes in a shared token's group carry their bitmap on, and of groups of
     # one block only those with a neighbour of nearly their size.
     lone = F.when(F.col("held") > rules.block, F.col("seat")).otherwise(-1)
