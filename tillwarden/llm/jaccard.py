@@ -334,25 +334,33 @@ def _sketch(
 PLACE = ["key", "one", "other", "block", "seat"]
 
 
-def _token_sets(batches: Iterator[pa.RecordBatch], rules: JoinRules) -> Iterator[pa.RecordBatch]:
-    """The tokens of members, where they are to be compared; copies in a task once."""
+def _member_texts(batches: Iterator[pa.RecordBatch], rules: JoinRules) -> Iterator[pa.RecordBatch]:
+    """The texts of members, where they are to be compared; copies in a task once.
+
+    A text is sent, not its tokens: it is smaller, and it compresses.
+    """
     made = set()
     for batch in batches:
         texts, nodes = texts_of(batch), batch.column("node").to_pylist()
         places = list(zip(*[batch.column(c).to_pylist() for c in PLACE], strict=True))
         for a, b in pieces_of([len(t) for t in texts], CHUNK):
-            rows, sets = [], []
+            rows = []
             for i, tokens in enumerate(shingle_sets(texts[a:b], rules.shingle), a):
                 # Another text of the same id is another node.
                 if places[i] not in made and len(tokens) and node_of(tokens) == nodes[i]:
                     made.add(places[i])
                     rows.append(i)
-                    sets.append(tokens.tobytes())
             if rows:
-                kept = batch.select(PLACE).take(pa.array(rows))
-                yield pa.RecordBatch.from_arrays(
-                    [*kept.columns, pa.array(sets, pa.binary())], names=[*PLACE, "tokens"]
-                )
+                yield batch.select([*PLACE, "text"]).take(pa.array(rows))
+
+
+def _token_sets(batches: Iterator[pa.RecordBatch], rules: JoinRules) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = texts_of(batch)
+        for a, b in pieces_of([len(t) for t in texts], CHUNK):
+            sets = pa.array([t.tobytes() for t in shingle_sets(texts[a:b], rules.shingle)], pa.binary())
+            places = batch.select(PLACE).slice(a, b - a)
+            yield pa.RecordBatch.from_arrays([*places.columns, sets], names=[*PLACE, "tokens"])
 
 
 def _groups(
@@ -401,7 +409,7 @@ def _light(batches: Iterator[pa.RecordBatch], rules: JoinRules) -> Iterator[pa.R
 
 
 def _exact(batches: Iterator[pa.RecordBatch], rules: JoinRules) -> Iterator[pa.RecordBatch]:
-    for sides, group in _groups(batches, ["seat", "tokens"]):
+    for sides, group in _groups(_token_sets(batches, rules), ["seat", "tokens"]):
         seats, first = np.unique(group["seat"], return_index=True)
         sets = [np.frombuffer(group["tokens"][i], np.uint64) for i in first]
         made = links(sets, sides[first], rules)
@@ -546,7 +554,7 @@ def jaccard_join(docs: DataFrame, folder: str, rules: JoinRules = JoinRules()) -
     )
 
     # Whatever links is connected by pairs that may: these families are compared
-    # exactly, each set sent once unless its family has more than a block. Sets
+    # exactly, each text sent once unless its family has more than a block. Sets
     # are made again, each from a text of its smallest id.
     families = components(maybe, f"{folder}/maybe")
     families = stage(families.union(families.select("label", "label").distinct()), f"{folder}/families")
@@ -555,11 +563,11 @@ def jaccard_join(docs: DataFrame, folder: str, rules: JoinRules = JoinRules()) -
     wanted = wanted.select(F.col("label").alias("key"), "seat", "node", "least", "held")
     members = hint_if_small(stage(in_blocks(wanted, rules), f"{folder}/members"))
     again = docs.join(members, docs["doc_id"].eqNullSafe(members["least"]))
-    sets = again.select("text", "node", *PLACE).mapInArrow(
-        partial(_token_sets, rules=rules),
-        "key long, one int, other int, block int, seat long, tokens binary",
+    texts = again.select("text", "node", *PLACE).mapInArrow(
+        partial(_member_texts, rules=rules),
+        "key long, one int, other int, block int, seat long, text string",
     )
-    edges = _by_group(sets).mapInArrow(partial(_exact, rules=rules), "a long, b long")
+    edges = _by_group(texts).mapInArrow(partial(_exact, rules=rules), "a long, b long")
     labels = components(edges, f"{folder}/components")
 
     # The smallest id of each group: of a node's rows, then of a label's nodes.
