@@ -116,3 +116,25 @@ def test_op7_bounds_are_never_too_low():
                 if low.enough(overlap, sizes[i], sizes[j]):
                     assert seen[j, i] >= overlap
     assert rules.prefix(10) == 2 and rules.prefix(1) == 1
+
+
+@pytest.mark.parametrize("percent", [30, 50, 80, 90, 100])
+def test_op7_linked_sets_share_more_than_they_spare(percent):
+    chance = np.random.default_rng(percent)
+    rules = jaccard.JoinRules(percent=percent)
+    links = 0
+    for _ in range(400):
+        n = int(chance.integers(1, 120))
+        mine = chance.choice(200, n, replace=False)
+        changed = int(chance.integers(0, max(1, n - rules.least(n)) + 1))
+        theirs = np.union1d(mine[changed:], chance.choice(200, changed))
+        if not len(theirs) or not rules.enough(len(np.intersect1d(mine, theirs)), n, len(theirs)):
+            continue
+        links += 1
+        # The order of the numbers is as good as any order of tokens.
+        first, other = (
+            np.sort(s)[: rules.prefix(len(s)) + rules.extra(len(s))] for s in (mine, theirs)
+        )
+        shared = len(np.intersect1d(first, other))
+        assert shared > rules.spare(n) and shared > rules.spare(len(theirs))
+    assert links > 50

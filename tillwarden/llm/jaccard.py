@@ -3,7 +3,10 @@
 Equal sets are one node from the start. Two sets can only link if they share a
 token among the first few of each, in any one order of all tokens (the prefix);
 the order puts tokens that a sample shows to be common last, so that prefixes
-hold rare ones. Nodes that share a prefix token are joined by a signature tree:
+hold rare ones. Prefixes are taken about twice as long as that needs, so that sets
+that link share many of their tokens: a node needs as many that others hold too,
+by counts over all nodes, and only its rarest ones beyond these have to be looked
+at. Nodes that share such a token are joined by a signature tree:
 its nodes hold the OR of their members' bitmaps and the range of their sizes, and
 pairs of tree nodes are dropped when no two members can overlap enough. What the
 bitmaps leave is compared exactly, skipping nodes that are already linked.
@@ -48,9 +51,26 @@ class JoinRules:
     common: int = 400_000
     block: int = 1024
 
+    def least(self, n: int) -> int:
+        """The size of the smallest set that one of ``n`` can link to; they overlap by as much."""
+        return -(-self.percent * n // 100)
+
     def prefix(self, n: int) -> int:
         """How many first tokens a set of ``n`` must share one of with any set it links to."""
-        return n - -(-self.percent * n // 100) + 1
+        return n - self.least(n) + 1
+
+    def extra(self, n: int) -> int:
+        """How many more tokens are looked at; as many more are then shared."""
+        return min(n - self.least(n), self.least(n) - 1)
+
+    def spare(self, n: int) -> int:
+        """One less than what a set of ``n`` surely shares, in longer prefixes, with any it links to.
+
+        The smaller of two sets has the smaller ``extra``. Of its tokens that other
+        prefixes hold, a set need not be looked up by the last ``spare``, in any one
+        order of tokens; if it has no more than these, it links to nothing.
+        """
+        return self.extra(self.least(n))
 
     def enough(self, overlap, a, b):
         """Whether an overlap of sets of sizes ``a`` and ``b`` makes a link."""
@@ -302,14 +322,15 @@ def _sketch(
     for batch in batches:
         texts, keys, own = texts_of(batch), batch.column("doc_id"), batch.column("own")
         for a, b in pieces_of([len(t) for t in texts], CHUNK):
-            nodes, counts, prefixes, bitmaps = [], [], [], []
+            nodes, counts, spare, prefixes, bitmaps = [], [], [], [], []
             for tokens in shingle_sets(texts[a:b], rules.shingle):
                 counts.append(len(tokens))
                 if not len(tokens):
-                    nodes.append(None), prefixes.append(None), bitmaps.append(None)
+                    nodes.append(None), spare.append(None), prefixes.append(None), bitmaps.append(None)
                     continue
                 nodes.append(node_of(tokens))
-                most = rules.prefix(len(tokens))
+                spare.append(rules.spare(len(tokens)))
+                most = rules.prefix(len(tokens)) + rules.extra(len(tokens))
                 if len(usual):
                     at = np.minimum(np.searchsorted(usual, tokens), len(usual) - 1)
                     order = np.where(usual[at] == tokens, rank[at], 0)
@@ -324,10 +345,11 @@ def _sketch(
                     own.slice(a, b - a),
                     pa.array(counts, pa.int64()),
                     pa.array(nodes, pa.binary()),
+                    pa.array(spare, pa.int64()),
                     pa.array(prefixes, pa.list_(pa.int64())),
                     pa.array(bitmaps, pa.binary()),
                 ],
-                names=["doc_id", "own", "n", "node", "prefix", "bits"],
+                names=["doc_id", "own", "n", "node", "spare", "prefix", "bits"],
             )
 
 
@@ -444,6 +466,12 @@ def common_tokens(docs: DataFrame, rules: JoinRules) -> tuple[np.ndarray, np.nda
     return tokens[order], found["times"].to_numpy(np.int64)[order]
 
 
+def with_held(entries: DataFrame) -> DataFrame:
+    """Entries whose ``key`` several have, and how many: ``held``."""
+    held = entries.groupBy("key").agg(F.count("*").alias("held")).where("held > 1")
+    return entries.join(held, "key")
+
+
 def in_blocks(entries: DataFrame, rules: JoinRules) -> DataFrame:
     """Entries of a ``key`` with more than a block of nodes go to every pair of its blocks.
 
@@ -511,7 +539,7 @@ def jaccard_join(docs: DataFrame, folder: str, rules: JoinRules = JoinRules()) -
     common = spark.sparkContext.broadcast(common_tokens(docs, rules))
     sketch = docs.withColumn("own", F.xxhash64("text")).mapInArrow(
         partial(_sketch, rules=rules, common=common),
-        "doc_id long, own long, n long, node binary, prefix array<long>, bits binary",
+        "doc_id long, own long, n long, node binary, spare long, prefix array<long>, bits binary",
     )
     sketch = stage(sketch, f"{folder}/sketch")
     nodes = (
@@ -520,6 +548,7 @@ def jaccard_join(docs: DataFrame, folder: str, rules: JoinRules = JoinRules()) -
         .agg(
             F.min("doc_id").alias("least"),
             F.first("n").alias("n"),
+            F.first("spare").alias("spare"),
             F.first("prefix").alias("prefix"),
             F.first("bits").alias("bits"),
         )
@@ -527,9 +556,14 @@ def jaccard_join(docs: DataFrame, folder: str, rules: JoinRules = JoinRules()) -
     # A number is less to send than a node's name; it is written with the node.
     nodes = stage(nodes.withColumn("seat", F.monotonically_increasing_id()), f"{folder}/nodes")
 
-    entries = nodes.select("seat", "n", F.explode("prefix").alias("key"))
-    held = entries.groupBy("key").agg(F.count("*").alias("held")).where("held > 1")
-    shared = stage(entries.join(held, "key"), f"{folder}/shared")
+    entries = nodes.select("seat", F.explode("prefix").alias("key"))
+    shared = with_held(entries).join(nodes.select("seat", "n", "spare"), "seat")
+    own = Window.partitionBy("seat")
+    ranked = shared.withColumns(
+        {"many": F.count("*").over(own), "place": F.row_number().over(own.orderBy("held", "key"))}
+    )
+    rarest = stage(ranked.where("place <= many - spare").select("seat", "n", "key"), f"{folder}/rarest")
+    shared = stage(with_held(rarest), f"{folder}/shared")
     # Tokens held by the same nodes (those of a passage, of a pair of copies) are one
     # group: the least of them stands for all. The names of node sets have 128 bits.
     sets = shared.groupBy("key").agg(
