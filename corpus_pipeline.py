@@ -18,7 +18,7 @@ from tillwarden.operators.lookup import stage
 from tillwarden.session import apply_settings, shared_folder
 
 # Near-duplicates: five words, a similarity of 0.8 or more.
-NEAR = jaccard.JoinRules(shingle=5, percent=80)
+NEAR = jaccard.JoinRules(shingle=5, percent=80, longer=50)
 
 
 def _folder(spark: SparkSession, name: str) -> str:

@@ -11,12 +11,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwarden.operators.lookup import stage
+
 # A batch holds rows or bytes up to these, whichever comes first, so that a run
 # of very long texts does not fill a worker.
 BATCH_ROWS = 2000
 BATCH_BYTES = 4 << 20
 # Up to so many rows of one or two numbers a list may be sent to every executor.
 BROADCAST_ROWS = 500_000
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -34,6 +37,21 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def staged(rows: DataFrame, folder: str) -> DataFrame:
+    """``rows`` written to ``folder`` and read again; the shuffle files of the write go when it ends.
+
+    Otherwise they stay until the driver happens to collect its garbage. The
+    session's own setting is put back.
+    """
+    conf = rows.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        return stage(rows, folder)
+    finally:
+        conf.set(CLEANUP, before)
+
+
 def fresh(base: str, *frames: DataFrame) -> str:
     """A column name none of the frames has, whatever the case."""
     taken = {c.lower() for f in frames for c in f.columns}

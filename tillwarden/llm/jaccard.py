@@ -26,8 +26,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwarden.llm.common import hint_if_small, pieces_of, texts_of
-from tillwarden.operators.lookup import stage
+from tillwarden.llm.common import hint_if_small, pieces_of, staged, texts_of
 
 CHUNK = 1 << 20
 LEAF = 32
@@ -42,6 +41,8 @@ class JoinRules:
 
     ``sample`` documents show which tokens are common, ``common`` bounds how many
     are kept: both bear on speed alone, any order of tokens gives the same links.
+    So does ``longer``, by what percentage of the tokens that a set may lack more of
+    them are looked at: more rule out more nodes, and are more to count.
     A task joins at most two blocks of ``block`` nodes.
     """
 
@@ -49,6 +50,7 @@ class JoinRules:
     percent: int = 90
     sample: int = 10_000
     common: int = 400_000
+    longer: int = 100
     block: int = 1024
 
     def least(self, n: int) -> int:
@@ -61,7 +63,7 @@ class JoinRules:
 
     def extra(self, n: int) -> int:
         """How many more tokens are looked at; as many more are then shared."""
-        return min(n - self.least(n), self.least(n) - 1)
+        return min(self.longer * (n - self.least(n)) // 100, self.least(n) - 1)
 
     def spare(self, n: int) -> int:
         """One less than what a set of ``n`` surely shares, in longer prefixes, with any it links to.
@@ -314,13 +316,26 @@ def _common_tokens(batches: Iterator[pa.RecordBatch], rules: JoinRules) -> Itera
             yield pa.RecordBatch.from_pydict({"token": token.view(np.int64), "times": times})
 
 
+def _names(batches: Iterator[pa.RecordBatch], rules: JoinRules) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = texts_of(batch)
+        for a, b in pieces_of([len(t) for t in texts], CHUNK):
+            sets = shingle_sets(texts[a:b], rules.shingle)
+            rows = batch.select(["doc_id", "own"]).slice(a, b - a)
+            nodes = pa.array([node_of(t) if len(t) else None for t in sets], pa.binary())
+            counts = pa.array([len(t) for t in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*rows.columns, counts, nodes], names=["doc_id", "own", "n", "node"]
+            )
+
+
 def _sketch(
     batches: Iterator[pa.RecordBatch], rules: JoinRules, common: Broadcast
 ) -> Iterator[pa.RecordBatch]:
     usual, rank = common.value
     usual = usual.view(np.uint64)
     for batch in batches:
-        texts, keys, own = texts_of(batch), batch.column("doc_id"), batch.column("own")
+        texts, keys = texts_of(batch), batch.column("doc_id")
         for a, b in pieces_of([len(t) for t in texts], CHUNK):
             nodes, counts, spare, prefixes, bitmaps = [], [], [], [], []
             for tokens in shingle_sets(texts[a:b], rules.shingle):
@@ -342,14 +357,13 @@ def _sketch(
             yield pa.RecordBatch.from_arrays(
                 [
                     keys.slice(a, b - a),
-                    own.slice(a, b - a),
                     pa.array(counts, pa.int64()),
                     pa.array(nodes, pa.binary()),
                     pa.array(spare, pa.int64()),
                     pa.array(prefixes, pa.list_(pa.int64())),
                     pa.array(bitmaps, pa.binary()),
                 ],
-                names=["doc_id", "own", "n", "node", "spare", "prefix", "bits"],
+                names=["doc_id", "n", "node", "spare", "prefix", "bits"],
             )
 
 
@@ -500,7 +514,7 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
     then all others; trees get flat in a number of rounds that grows with the
     logarithm of their size. Rounds are written to the shared folder.
     """
-    edges = stage(edges.where("a <> b").select("a", "b").distinct(), f"{folder}/edges")
+    edges = staged(edges.where("a <> b").select("a", "b").distinct(), f"{folder}/edges")
     before = None
     step = 0
     while True:
@@ -508,14 +522,14 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = stage(large.where("a <> b").distinct(), f"{folder}/large{step}")
+        large = staged(large.where("a <> b").distinct(), f"{folder}/large{step}")
         # Smaller neighbours hang on the smallest of them.
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         hung = down.join(least, "a").select(F.col("b").alias("x"), "m")
         small = hung.where("x <> m").select(F.col("x").alias("a"), F.col("m").alias("b"))
         small = small.union(least.select("a", F.col("m").alias("b"))).distinct()
-        edges = stage(small, f"{folder}/small{step}")
+        edges = staged(small, f"{folder}/small{step}")
         step += 1
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
@@ -537,11 +551,15 @@ def jaccard_join(docs: DataFrame, folder: str, rules: JoinRules = JoinRules()) -
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     common = spark.sparkContext.broadcast(common_tokens(docs, rules))
-    sketch = docs.withColumn("own", F.xxhash64("text")).mapInArrow(
+    # Texts are hashed twice: what is known of a row is kept, prefixes only of nodes.
+    named = docs.withColumn("own", F.xxhash64("text")).mapInArrow(
+        partial(_names, rules=rules), "doc_id long, own long, n long, node binary"
+    )
+    found = staged(named, f"{folder}/found")
+    sketch = docs.mapInArrow(
         partial(_sketch, rules=rules, common=common),
-        "doc_id long, own long, n long, node binary, spare long, prefix array<long>, bits binary",
+        "doc_id long, n long, node binary, spare long, prefix array<long>, bits binary",
     )
-    sketch = stage(sketch, f"{folder}/sketch")
     nodes = (
         sketch.where("node is not null")
         .groupBy("node")
@@ -554,7 +572,7 @@ def jaccard_join(docs: DataFrame, folder: str, rules: JoinRules = JoinRules()) -
         )
     )
     # A number is less to send than a node's name; it is written with the node.
-    nodes = stage(nodes.withColumn("seat", F.monotonically_increasing_id()), f"{folder}/nodes")
+    nodes = staged(nodes.withColumn("seat", F.monotonically_increasing_id()), f"{folder}/nodes")
 
     entries = nodes.select("seat", F.explode("prefix").alias("key"))
     shared = with_held(entries).join(nodes.select("seat", "n", "spare"), "seat")
@@ -562,8 +580,8 @@ def jaccard_join(docs: DataFrame, folder: str, rules: JoinRules = JoinRules()) -
     ranked = shared.withColumns(
         {"many": F.count("*").over(own), "place": F.row_number().over(own.orderBy("held", "key"))}
     )
-    rarest = stage(ranked.where("place <= many - spare").select("seat", "n", "key"), f"{folder}/rarest")
-    shared = stage(with_held(rarest), f"{folder}/shared")
+    rarest = staged(ranked.where("place <= many - spare").select("seat", "n", "key"), f"{folder}/rarest")
+    shared = staged(with_held(rarest), f"{folder}/shared")
     # Tokens held by the same nodes (those of a passage, of a pair of copies) are one
     # group: the least of them stands for all. The names of node sets have 128 bits.
     sets = shared.groupBy("key").agg(
@@ -591,11 +609,11 @@ def jaccard_join(docs: DataFrame, folder: str, rules: JoinRules = JoinRules()) -
     # exactly, each text sent once unless its family has more than a block. Sets
     # are made again, each from a text of its smallest id.
     families = components(maybe, f"{folder}/maybe")
-    families = stage(families.union(families.select("label", "label").distinct()), f"{folder}/families")
+    families = staged(families.union(families.select("label", "label").distinct()), f"{folder}/families")
     sizes = families.groupBy("label").agg(F.count("*").alias("held"))
     wanted = families.join(sizes, "label").join(nodes.select("seat", "node", "least"), "seat")
     wanted = wanted.select(F.col("label").alias("key"), "seat", "node", "least", "held")
-    members = hint_if_small(stage(in_blocks(wanted, rules), f"{folder}/members"))
+    members = hint_if_small(staged(in_blocks(wanted, rules), f"{folder}/members"))
     again = docs.join(members, docs["doc_id"].eqNullSafe(members["least"]))
     texts = again.select("text", "node", *PLACE).mapInArrow(
         partial(_member_texts, rules=rules),
@@ -608,9 +626,8 @@ def jaccard_join(docs: DataFrame, folder: str, rules: JoinRules = JoinRules()) -
     named = nodes.select("node", "seat", "least").join(labels, "seat", "left")
     named = named.withColumn("label", F.coalesce("label", "seat"))
     smallest = named.groupBy("label").agg(F.min("least").alias("component"))
-    named = stage(named.join(smallest, "label").select("node", "label", "component"), f"{folder}/named")
-    found = sketch.select("doc_id", "own", "n", "node").join(named, "node", "left")
-    return found.select(
+    named = staged(named.join(smallest, "label").select("node", "label", "component"), f"{folder}/named")
+    return found.join(named, "node", "left").select(
         "doc_id",
         "own",
         F.col("n").alias("n_shingles"),
@@ -628,13 +645,13 @@ def one_of_each(docs: DataFrame, folder: str, rules: JoinRules = JoinRules()) ->
     stay. Columns are as they were. What goes is looked up by id and hash, so the
     documents are shuffled only if that list is long.
     """
-    joined = stage(jaccard_join(docs, folder, rules), f"{folder}/joined")
+    joined = staged(jaccard_join(docs, folder, rules), f"{folder}/joined")
     grouped = joined.where("label is not null").withColumn(
         "place", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "own")
     )
     first = grouped.groupBy("label").agg(F.min("place").alias("first"), F.count("*").alias("rows"))
     several = first.where("rows > 1").drop("rows")
-    judged = stage(
+    judged = staged(
         grouped.join(several, "label").select("place", (F.col("place") == F.col("first")).alias("stays")),
         f"{folder}/judged",
     )
@@ -642,7 +659,7 @@ def one_of_each(docs: DataFrame, folder: str, rules: JoinRules = JoinRules()) ->
     gone = judged.where(~F.col("stays")).select(*key).distinct()
     # Rows of which a copy, alike in id and text, stays too.
     copied = judged.where("stays").groupBy("place").count().where("count > 1").select(*key)
-    gone, copied = stage(gone, f"{folder}/gone"), stage(copied, f"{folder}/copied")
+    gone, copied = staged(gone, f"{folder}/gone"), staged(copied, f"{folder}/copied")
 
     def listed(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
         keys = hint_if_small(keys)
