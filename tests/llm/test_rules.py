@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tillwarden.llm import line_dedup, quality_rules, queries
 from tillwarden.llm.common import ready
+from tillwarden.operators.lookup import stage
 
 
 def counts(text):
@@ -82,6 +83,29 @@ def test_op9_distance(spark):
     assert abs(row.first().d - math.sqrt(want)) < 1e-9
 
 
+def test_op9_documents_without_a_reference(spark, tmp_path):
+    """Clean texts stay and junk goes whether the language is null or rare, in small and large tables."""
+    hidden = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    kinds = {
+        "null": F.when(~hidden, F.col("lang")),
+        "rare": F.when(~hidden, F.col("lang")).otherwise(F.concat(F.lit("x"), F.col("doc_id") % 100)),
+        "all_null": F.lit(None).cast("string"),
+    }
+    for size in ("sf0.001", "sf0.01"):
+        docs = ready(spark).read.parquet(f"/root/testdata/{size}/documents.parquet").select("doc_id", "text", "lang")
+        quality = {r.doc_id: r.quality for r in spark.read.parquet(f"/root/testdata/{size}/labels.parquet").collect()}
+        rows, q = quality_rules.measured(docs)
+        rows = stage(rows.drop("text"), str(tmp_path / size))
+        for kind, lang in kinds.items():
+            marked = rows.select("doc_id", lang.alias("lang"), hidden.alias("hidden"), q)
+            got = quality_rules.judge(marked, q, str(tmp_path / f"{size}_{kind}")).collect()
+            got = [r for r in got if r.hidden or size == "sf0.001" or r.lang is None]
+            clean = [r for r in got if quality.get(r.doc_id) == 1 and r.n_words >= 50 and not r.base_failed]
+            assert len(clean) > 10 and sum(not r.kept for r in clean) <= len(clean) / 100, (size, kind)
+            junk = [r.kept for r in got if quality.get(r.doc_id) == 0]
+            assert kind != "null" or sum(junk) < len(junk) * 0.4, (size, kind)
+
+
 def removed(rows):
     """Plain line dedup: (id, text) to the text that is kept."""
     alike, seen, kept = {}, {}, {}
