@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import edges
 import numpy as np
+import pyarrow as pa
 from compare import connect, differences
 from conftest import SMALL
 from pyspark.sql import functions as F
@@ -82,6 +83,28 @@ def test_op4_edges(spark, tmp_path):
     assert not nothing.any() and quality.scored(docs.limit(0), nothing, how).count() == 0
 
 
+def test_op4_reads_unbroken_texts_whole(spark):
+    how = quality.Training()
+    weights = np.random.default_rng(1).normal(size=how.buckets).astype(np.float32)
+    score = quality.Scorer(weights, how).score
+    for size in (100, 5000, 140_000):
+        text = "文字" * (size // 2)
+        other = text + "のちがうおわり"
+        whole = Counter(quality.buckets_of(other, how))
+        found, times = quality.bucket_counts(other, how)
+        assert dict(zip(found.tolist(), times.tolist(), strict=True)) == whole
+        assert sum(whole.values()) == 1 + sum(len(other) + 2 - n + 1 for n in (3, 4, 5))
+        want = [0, 0]
+        for b, n in (whole + Counter({quality.END: 1})).items():
+            want = [want[0] + float(weights[b]) * n, want[1] + n]
+        assert abs(score(other) - 1 / (1 + math.exp(-want[0] / want[1]))) < 1e-5
+        late = {b for b in whole if b not in set(quality.buckets_of(text, how))}
+        assert len(late) > 10
+        batch = pa.RecordBatch.from_pylist([{"turn": 1, "quality": 1, "text": other}])
+        made = next(quality._features(iter([batch]), how)).to_pylist()[0]
+        assert set(made["buckets"]) == set(whole) | {quality.END}
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",

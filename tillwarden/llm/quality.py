@@ -28,6 +28,8 @@ from tillwarden.operators.lookup import stage
 WORDS_KEPT = 300_000
 # A text spreads one step over thousands of buckets; this makes up for it.
 WORD_RATE = 20.0
+# Buckets of a longer word are counted in numpy, so many grams at a time.
+LONG, GRAMS = 4096, 1 << 16
 END = 0  # the bucket every text has once, so that an empty text has a score
 # The bucket of the word pair whose second word repeats the first, and what it counts
 # for: about as much as a word with its character n-grams.
@@ -61,13 +63,28 @@ def buckets_of(word: str, how: Training) -> list[int]:
     """The buckets of a word and of its character n-grams, with its ends marked."""
     usable = how.buckets - 2
     found = [crc32(word.encode()) % usable + 2]
-    marked = f"<{word[:64]}>"
+    marked = f"<{word}>"
     for n in range(how.shortest, how.longest + 1):
         for i in range(len(marked) - n + 1):
             found.append(crc32(marked[i : i + n].encode(), n) % usable + 2)
     return found
 
 
+def bucket_counts(word: str, how: Training) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of :func:`buckets_of`, each once, and how often; for words of any length."""
+    usable, marked = how.buckets - 2, f"<{word}>"
+    times = np.zeros(how.buckets, np.int64)
+    times[crc32(word.encode()) % usable + 2] += 1
+    for n in range(how.shortest, how.longest + 1):
+        many = len(marked) - n + 1
+        for start in range(0, many, GRAMS):
+            grams = range(start, min(start + GRAMS, many))
+            hashes = np.array([crc32(marked[i : i + n].encode(), n) for i in grams], np.int64)
+            times += np.bincount(hashes % usable + 2, minlength=how.buckets)
+    found = np.flatnonzero(times)
+    return found, times[found]
+
+
 def repeats(words: list[str]) -> int:
     """How often a word follows itself."""
     return sum(map(eq, words, islice(words, 1, None)))
@@ -83,6 +100,10 @@ def _features(batches: Iterator[pa.RecordBatch], how: Training) -> Iterator[pa.R
             if again := repeats(words):
                 count[AGAIN] = again * AGAIN_COUNTS
             for word, times in Counter(words).items():
+                if len(word) > LONG:
+                    for b, inside in zip(*(a.tolist() for a in bucket_counts(word, how)), strict=True):
+                        count[b] += inside * times
+                    continue
                 for b in known[word]:
                     count[b] += times
             total = sum(count.values())
@@ -189,6 +210,9 @@ class Scorer:
 
     def _word(self, word: str) -> complex:
         """The sum of a word's weights, and how many they are."""
+        if len(word) > LONG:
+            found, times = bucket_counts(word, self.how)
+            return complex(float(self.weights[found].astype(float) @ times), int(times.sum()))
         buckets = buckets_of(word, self.how)
         return complex(float(self.weights[buckets].sum()), len(buckets))
 
