@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 
 from tillwarden.llm import (
     byte_bpe,
+    exact_dedup,
+    fill_middle,
     jaccard,
     line_dedup,
     packing,
@@ -130,7 +133,32 @@ def op10_line_dedup(spark, sf_dir):
     return kept.select("doc_id", "n_lines", "n_removed", "kept_text")
 
 
+@query
+def op11_fill_in_middle(spark, sf_dir):
+    made = fill_middle.fill_in_middle(_documents(spark, sf_dir))
+    back = fill_middle.restored(F.col("form"), F.col("output"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
+@query
+def op13_exact_dedup(spark, sf_dir):
+    name, folder = f"digests_{uuid.uuid4().hex[:12]}", shared_folder(spark, "digests")
+    index = exact_dedup.DigestIndex(spark, name, folder).open()
+    found = exact_dedup.dedup(_documents(spark, sf_dir), index)
+    digest = F.lower(F.hex("digest")).alias("text_sha256")
+    return found.select("doc_id", "keep_id", "group_size", "kept", digest)
+
+
 ORACLE: dict[str, str] = {
+    "op13_exact_dedup": exact_dedup.ORACLE,
     "op2_topk": topk.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
 }
