@@ -15,6 +15,7 @@ from tillwarden.llm import (
     fill_middle,
     jaccard,
     line_dedup,
+    merkle,
     packing,
     pii,
     quality,
@@ -148,6 +149,23 @@ def op11_fill_in_middle(spark, sf_dir):
     )
 
 
+@query
+def op12_merkle_manifest(spark, sf_dir):
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    leaves = merkle.document_leaves(_documents(spark, sf_dir), tampered)
+    rows = merkle.manifest(leaves, shared_folder(spark, "manifest"))
+    root = merkle.folded(F.coalesce("claimed", "leaf"), F.col("siblings"))
+    digests = {
+        "leaf": merkle.hexed(F.col("leaf")),
+        "subroot": merkle.hexed(F.col("subroot")),
+        "root": merkle.hexed(F.col("root")),
+        "proof_sha256": F.sha2(merkle.proof_text(F.col("siblings")), 256),
+        "folded_root": merkle.hexed(root),
+    }
+    rows = rows.select("doc_id", *[c.alias(n) for n, c in digests.items()])
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 @query
 def op13_exact_dedup(spark, sf_dir):
     name, folder = f"digests_{uuid.uuid4().hex[:12]}", shared_folder(spark, "digests")
@@ -158,6 +176,7 @@ def op13_exact_dedup(spark, sf_dir):
 
 
 ORACLE: dict[str, str] = {
+    "op12_merkle_manifest": merkle.ORACLE,
     "op13_exact_dedup": exact_dedup.ORACLE,
     "op2_topk": topk.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
