@@ -41,15 +41,15 @@ class DigestIndex:
     """The table of all digests kept so far, in ``folder``, known to the catalog as ``name``.
 
     ``digest``, ``keep_id`` (the document that stays) and ``batch`` (the number of
-    the batch that brought it). Fix ``buckets`` for the size the index is to reach:
-    a bucket is one task of each join. What each batch brought is noted beside it,
+    the batch that brought it). ``buckets`` are fixed when the table is made: a bucket
+    is one task of each join, so as many as the cluster's shuffles have suit it. What each batch brought is noted beside it,
     some 50 bytes a document.
     """
 
     spark: SparkSession
     name: str
     folder: str
-    buckets: int = 64
+    buckets: int
 
     def open(self) -> DigestIndex:
         """Create the table, or attach the files an earlier session left in ``folder``."""
@@ -129,7 +129,10 @@ class DigestIndex:
         """
         target = f"{self.folder.rstrip('/')}/index-{_new()}"
         merged = f"{self.name}_{_new()}"
-        rows = self.table().repartition(self.buckets, "digest").sortWithinPartitions("digest")
+        described = self.spark.sql(f"DESCRIBE EXTENDED {self.name}").where("col_name = 'Location'")
+        # Read as plain files: as a table, its rows would pass for dealt already.
+        rows = self.spark.read.schema(LAYOUT).parquet(described.first()["data_type"])
+        rows = rows.repartition(self.buckets, "digest").sortWithinPartitions("digest")
         writer = rows.write.format("parquet").bucketBy(self.buckets, "digest").sortBy("digest")
         writer.option("path", target).saveAsTable(merged)
         self.spark.sql(f"DROP TABLE {merged}")

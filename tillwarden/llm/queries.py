@@ -169,7 +169,8 @@ def op12_merkle_manifest(spark, sf_dir):
 @query
 def op13_exact_dedup(spark, sf_dir):
     name, folder = f"digests_{uuid.uuid4().hex[:12]}", shared_folder(spark, "digests")
-    index = exact_dedup.DigestIndex(spark, name, folder).open()
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    index = exact_dedup.DigestIndex(spark, name, folder, buckets).open()
     found = exact_dedup.dedup(_documents(spark, sf_dir), index)
     digest = F.lower(F.hex("digest")).alias("text_sha256")
     return found.select("doc_id", "keep_id", "group_size", "kept", digest)
