@@ -123,6 +123,34 @@ def test_library_ids_of_words_are_those_of_texts(byte_library, word_library):
             ]
 
 
+# What the cuts of library_ids tell apart: classes of plain characters, spaces of all kinds, and what is neither.
+BITS = "a b the The É ß ÿ Ÿ µ ª 0 12 . , ' 's \" ( ) ~ ` { [ \\ ] ^ _ @ / - & ing tion e\u0301 İ ſ Σ × ÷ 中 १ “ … <|endoftext|>".split()
+BITS += ["\n", "\n\n", " ", "  ", " ", "\t", "\r", "\x00", "\x1c", "\u00a0", "\u0085", "\u2028", "\u2009", "\u3000", "\u1680", "🙂"]
+
+
+@pytest.mark.parametrize("bits", [BITS, BITS[:33] + ["\n", " ", " ", "'"]])
+def test_library_ids_of_random_texts(byte_library, word_library, bits):
+    chance = edges.random.Random(11)
+    texts = ["".join(chance.choice(bits) for _ in range(chance.randrange(40))) for _ in range(6000)]
+    for path, library in ((BYTE, byte_library), (WORD, word_library)):
+        encoder = library_ids.LibraryIds(path)
+        want = [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+        got = [np.frombuffer(i, "<u4").tolist() for a in range(0, 6000, 500) for i in encoder.encode(texts[a : a + 500])]
+        assert got == want
+
+
+def test_library_ids_forget_pieces_not_answers(monkeypatch, byte_library):
+    monkeypatch.setattr(library_ids, "PIECES_KEPT", 50)
+    monkeypatch.setattr(library_ids, "LONGEST_KEPT", 4)
+    monkeypatch.setattr(library_ids, "PIECES_ASKED", 7)
+    encoder, texts = library_ids.LibraryIds(BYTE), [t or "" for t in edges.texts()]
+    for _ in range(2):
+        for a in range(0, len(texts), 9):
+            got = [np.frombuffer(i, "<u4").tolist() for i in encoder.encode(texts[a : a + 9])]
+            assert got == [ids_of(byte_library, t) for t in texts[a : a + 9]]
+    assert encoder.encode([]) == [] and encoder.encode(["", ""]) == [b"", b""]
+
+
 def test_op5_files_give_back_every_document(spark, documents, word_library):
     got = queries.QUERIES["op5_token_files"](spark, SMALL).collect()
     before, want = 0, set()

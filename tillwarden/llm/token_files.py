@@ -13,14 +13,15 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillwarden.llm.common import pieces_of, texts_of
+from tillwarden.llm.common import pieces_of
 from tillwarden.llm.library_ids import library_ids
 
-CHUNK = 1 << 20
+CHUNK = 4 << 20
 LAYOUT = "part int, place long, before long, doc_id long, n_tokens long, ids array<int>"
 ORC = {
     "orc.stripe.size": str(16 << 20),
@@ -36,24 +37,21 @@ def _encode(
     batches: Iterator[pa.RecordBatch], path: str, end_id: int
 ) -> Iterator[pa.RecordBatch]:
     encoder = library_ids(path)
-    end = np.array([end_id], "<u4").tobytes()
     part, place, before = TaskContext.get().partitionId(), 0, 0
     for batch in batches:
-        texts, keys = texts_of(batch), batch.column("doc_id")
-        for a, b in pieces_of([len(t) for t in texts], CHUNK):
-            ids = [i + end for i in encoder.encode(texts[a:b])]
-            sizes = np.array([len(i) // 4 for i in ids], np.int64)
-            stops = np.concatenate([[0], np.cumsum(sizes)])
-            lists = pa.ListArray.from_arrays(
-                pa.array(stops, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4"))
-            )
+        texts, keys = batch.column("text"), batch.column("doc_id")
+        for a, b in pieces_of(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), CHUNK):
+            ids, stops = encoder.encode_array(texts.slice(a, b - a))
+            ids = np.insert(ids, stops, end_id)
+            stops = np.concatenate([[0], stops + np.arange(1, b - a + 1)])
+            lists = pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(ids.view("<i4")))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.full(b - a, part, np.int32)),
                     pa.array(np.arange(place, place + b - a)),
                     pa.array(before + stops[:-1]),
                     keys.slice(a, b - a),
-                    pa.array(sizes),
+                    pa.array(np.diff(stops)),
                     lists,
                 ],
                 names=["part", "place", "before", "doc_id", "n_tokens", "ids"],
