@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import edges
 import public_tokenizers
 import test_jaccard
-import test_rules
+import test_quality_rules
 import test_tokens
 from conftest import SMALL
 from pyspark.sql import functions as F
@@ -20,9 +20,9 @@ from tillwarden.llm.common import ready
 
 
 def histograms(text):
-    words = test_rules.re.findall(r"[^\x20\x09-\x0D]+", text)
-    n, chars, symbols, *_ = test_rules.counts(text)
-    digits, marks = (len(test_rules.re.findall(p, text)) for p in ("[0-9]", "[.,;:!?'\"()-]"))
+    words = test_quality_rules.re.findall(r"[^\x20\x09-\x0D]+", text)
+    n, chars, symbols, *_ = test_quality_rules.counts(text)
+    digits, marks = (len(test_quality_rules.re.findall(p, text)) for p in ("[0-9]", "[.,;:!?'\"()-]"))
     common = Counter(w.lower() for w in words)
     own = [common[w] for w in quality_rules.COMMON_WORDS]
     return [chars - symbols - digits - marks, digits, marks, symbols, len(text) - chars], [*own, n - sum(own)]
@@ -38,21 +38,26 @@ def distance(a, b):
 
 
 def plain_quality(rows):
+    """The rows that the rules keep: each against the others of its language, else the nearest reference."""
     rules = quality_rules.QualityRules()
     made = [histograms(r["text"] or "") for r in rows]
-    sums = defaultdict(lambda: ([0] * 5, [0] * (len(quality_rules.COMMON_WORDS) + 1)))
+    sums, documents = defaultdict(lambda: [[0] * len(h) for h in made[0]]), Counter(r["lang"] for r in rows)
     for r, own in zip(rows, made, strict=True):
-        for key in {("own", r["lang"]), ("all",)}:
-            for total, more in zip(sums[key], own, strict=True):
-                total[:] = [x + y for x, y in zip(total, more, strict=True)]
+        sums[r["lang"]] = [[x + y for x, y in zip(*pair, strict=True)] for pair in zip(sums[r["lang"]], own, strict=True)]
     for r, own in zip(rows, made, strict=True):
-        n, _, _, _, repeats = test_rules.counts(r["text"] or "")
+        n, _, _, _, repeats = test_quality_rules.counts(r["text"] or "")
         if n < rules.min_words or 100 * repeats > rules.repeat_percent * n:
             continue
-        reference = sums["own", r["lang"]]
-        if r["lang"] is None or sum(reference[1]) < rules.reference_words:
-            reference = sums["all",]
-        char, word = (distance(a, b) for a, b in zip(own, reference, strict=True))
+        others = {}
+        for lang, reference in sums.items():
+            mine = lang == r["lang"]
+            if lang is None or documents[lang] - mine < rules.reference_documents:
+                continue
+            others[lang] = [[x - y * mine for x, y in zip(*pair, strict=True)] for pair in zip(reference, own, strict=True)]
+        if r["lang"] in others and sum(others[r["lang"]][1]) >= rules.reference_words:
+            others = {r["lang"]: others[r["lang"]]}
+        near = [[distance(h, other[k]) for other in others.values()] for k, h in enumerate(own)]
+        char, word = (min(d, default=0.0) for d in near)
         if n >= rules.guard_words and char > rules.char_distance:
             continue
         if n >= rules.word_guard and word > rules.word_distance:
@@ -82,11 +87,11 @@ def check_stages(spark, docs, tmp_path):
 
     before, after = results["line_dedup"]
     null_first = sorted(before, key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0))
-    kept = test_rules.removed([(r["doc_id"], r["text"]) for r in null_first])
+    kept = test_quality_rules.removed([(r["doc_id"], r["text"]) for r in null_first])
     want = []
     for r in before:
         _, gone, text = kept[r["doc_id"], r["text"]]
-        if not gone or test_rules.re.search(r"[^ \t\n\v\f\r]", text):
+        if not gone or test_quality_rules.re.search(r"[^ \t\n\v\f\r]", text):
             want.append({**r, "text": text, "n_chars": len(text or "") if text != r["text"] else r["n_chars"]})
     assert counted(after) == counted(want)
 

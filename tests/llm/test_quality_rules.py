@@ -106,6 +106,37 @@ def test_op9_documents_without_a_reference(spark, tmp_path):
             assert kind != "null" or sum(junk) < len(junk) * 0.4, (size, kind)
 
 
+def test_op9_a_language_of_its_own_hides_no_junk(spark, tmp_path):
+    """Junk of languages that nobody else writes goes as it does under its real one."""
+    docs = ready(spark).read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet").select("doc_id", "quality")
+    rows, q = quality_rules.measured(docs.join(labels, "doc_id", "left"))
+    rows = stage(rows.drop("text"), str(tmp_path / "rows"))
+    own = F.when(F.col("quality") == 0, F.concat(F.lit("own"), F.col("doc_id"))).otherwise(F.col("lang"))
+    kept = {}
+    for kind, lang in (("real", F.col("lang")), ("own", own)):
+        got = quality_rules.judge(rows.withColumn("lang", lang), q, str(tmp_path / kind)).where("quality = 0")
+        kept[kind] = {r.doc_id for r in got.where("kept").collect()}
+    assert len(kept["own"]) <= len(kept["real"]) + 1, kept
+
+
+def test_op9_bounds_are_fields(spark, tmp_path):
+    """Only the largest references are compared with; a text is no reference of itself."""
+    words = {"a": "the of and " * 40, "b": "der die und " * 40, "c": "zz yy xx " * 40}
+    texts = [(f"{k} {i}", k * (n > 1), w + f" w{i}") for k, w, n in (("a", words["a"], 7), ("b", words["b"], 6), ("c", words["c"], 1)) for i in range(n)]
+    texts += [("lone", "q", words["c"] * 2), ("lone a", "r", words["a"])]
+    rows, q = quality_rules.measured(spark.createDataFrame(texts, "doc_id string, lang string, text string"))
+    loose = quality_rules.QualityRules(repeat_percent=1000, reference_documents=5)
+    got = {r.doc_id: r.word_distance for r in quality_rules.judge(rows, q, str(tmp_path / "all"), loose).collect()}
+    assert got["a 0"] < 0.1 and got["b 0"] < 0.1 and got["lone a"] < 0.1 and got["lone"] > 0.5 and got["c 0"] > 0.5
+    one = quality_rules.QualityRules(repeat_percent=1000, reference_documents=5, languages=1)
+    got = {r.doc_id: r.word_distance for r in quality_rules.judge(rows, q, str(tmp_path / "one"), one).collect()}
+    assert got["lone a"] < 0.1 and got["b 0"] > 0.5
+    many = quality_rules.QualityRules(repeat_percent=1000, reference_documents=7)
+    got = {r.doc_id: r.word_distance for r in quality_rules.judge(rows, q, str(tmp_path / "many"), many).collect()}
+    assert got["a 0"] == 0 and got["b 0"] > 0.5 and got["lone a"] < 0.1
+
+
 def removed(rows):
     """Plain line dedup: (id, text) to the text that is kept."""
     alike, seen, kept = {}, {}, {}

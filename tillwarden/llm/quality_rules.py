@@ -1,10 +1,11 @@
 """Quality rules: counts, and how far a text's characters and common words are from its language's.
 
 Each text gets a histogram of character classes and one of common words. The
-reference of a language is the sum of the histograms of all its documents; the
-Jensen-Shannon distance between a text and the reference of its language tells
-unusual texts; where its language is not known or rare, the smallest distance to
-any language's reference does. Texts too short for a histogram are not judged by it.
+reference of a language is the sum of the histograms of its documents, less the
+text that is judged; the Jensen-Shannon distance between a text and the
+reference of its language tells unusual texts; where its language is not known or
+rare, the smallest distance to any language's reference does. Texts too short for a
+histogram are not judged by it.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ BLANKS = " \t\n\x0b\x0c\r"
 COMMON_WORDS = ["the", "of", "and", "to", "in", "is", "der", "die", "das", "und", "le", "les", "et", "que", "de", "la", "el", "los", "en", "y"]
 SYMBOLS = "#*$%&|<>"
 REPEAT = 8
-LANGUAGES = 1000
 
 
 @dataclass(frozen=True)
@@ -34,8 +34,10 @@ class QualityRules:
     ``word_distance``: the largest Jensen-Shannon distances (0 to 1) that are
     kept; of labelled prose, 99 in 100 lie below 0.16 and 0.19. With fewer words
     than ``guard_words`` neither decides, with fewer than ``word_guard`` the
-    characters alone do. ``reference_words``: by its own reference alone is judged
-    what is in a language with at least so many words.
+    characters alone do. A language is a reference if it has ``reference_documents``
+    other documents; by it alone is judged what is in it if these have
+    ``reference_words`` words. Texts without such a language are compared with the
+    ``languages`` largest references.
     """
 
     min_words: int = 20
@@ -45,6 +47,8 @@ class QualityRules:
     char_distance: float = 0.25
     word_distance: float = 0.22
     reference_words: int = 10_000
+    reference_documents: int = 5
+    languages: int = 1000
 
 
 def _words(text: Column) -> Column:
@@ -156,24 +160,37 @@ def _distance(own: Column, reference: Column, bins: int) -> Column:
 
 
 def references(rows: DataFrame, q: str, language: str | None) -> DataFrame:
-    """The sum of the histograms of each language's documents, one row per language.
+    """The sum of the histograms of each language's documents and their number, one row per language.
 
     A language is merged in every task before the shuffle, however many
     documents it has.
     """
-    key = F.col(language).cast("string") if language else F.lit(None).cast("string")
+    key = F.col(language).cast("string") if language else F.lit("all")
     sums = [
         F.sum(F.get(F.col(q)[name], F.lit(k))).alias(f"{name}_{k}")
         for name, bins in BINS.items()
         for k in range(bins)
     ]
-    return rows.groupBy(key.alias("language")).agg(*sums)
+    found = rows.groupBy(key.alias("language")).agg(F.count("*").alias("documents"), *sums)
+    bins = [F.array(*[f"{name}_{k}" for k in range(n)]).alias(name) for name, n in BINS.items()]
+    return found.select("language", "documents", *bins)
 
 
-def _nearest(own: Column, listed: list[list[int]], bins: int) -> Column:
-    """The smallest distance to the listed references; 0 where there is none."""
-    known = F.from_json(F.lit(json.dumps(listed)), "array<array<bigint>>")
-    return F.coalesce(F.array_min(F.transform(known, lambda r: _distance(own, r, bins))), F.lit(0.0))
+def _less(reference: Column, own: Column) -> Column:
+    return F.zip_with(reference, own, lambda a, b: a - b)
+
+
+def _nearest(own: Column, language: Column, name: str, listed: list[dict]) -> Column:
+    """The smallest distance to the listed references, without the text itself; 0 where there is none."""
+    layout = "array<struct<language:string,few:boolean,bins:array<bigint>>>"
+    known = F.from_json(F.lit(json.dumps([{**r, "bins": r[name]} for r in listed])), layout)
+
+    def distance(r: Column) -> Column:
+        mine = r["language"].eqNullSafe(language)
+        apart = F.when(mine, _less(r["bins"], own)).otherwise(r["bins"])
+        return F.when(~(mine & r["few"]), _distance(own, apart, BINS[name]))
+
+    return F.coalesce(F.array_min(F.transform(known, distance)), F.lit(0.0))
 
 
 def judge(
@@ -187,50 +204,47 @@ def judge(
 
     ``rows`` should be a written table: it is read twice, once for the references
     of the languages, which cover all rows and are written to ``folder``. A text
-    without a language, or of one with fewer than ``rules.reference_words`` words,
-    has the smallest distances to the references of all languages, small ones
-    too: the common words of another language would call clean texts unusual. If
-    no row has a language, or the rows have more than ``LANGUAGES``, such texts have distance 0.
-    With ``language=None`` all rows count as one language. Null and empty texts have 0
-    words and fail; repeated rows and null ids are judged each; no rows give no
-    rows. Columns that ``rows`` has under the new names are replaced.
+    is never part of the reference it is compared with. One without a language, or
+    of one whose other documents are too few (see :class:`QualityRules`), has the smallest
+    distances to the references of all languages with enough other documents: a language
+    nobody else writes keeps nothing. Only if there is no such reference are both
+    distances 0. With ``language=None`` all rows count as one language. Null and
+    empty texts have 0 words and fail; repeated rows and null ids are judged each; no
+    rows give no rows. Columns that ``rows`` has under the new names are replaced.
     """
     sums = stage(references(rows, q, language), folder)
-    names = {name: [f"{name}_{k}" for k in range(bins)] for name, bins in BINS.items()}
-    if language:
-        words = sum((F.col(c) for c in names["common"]), F.lit(0))
-        named = sums.where(F.col("language").isNotNull())
-        listed = named.limit(LANGUAGES + 1).collect()
-        listed = listed if len(listed) <= LANGUAGES else []
-        key, *own = (fresh(n, rows) for n in ("_language", "_chars", "_common"))
-        by_language = named.where(words >= rules.reference_words).select(
-            F.col("language").alias(key),
-            *[F.array(*names[name]).alias(c) for name, c in zip(BINS, own, strict=True)],
+    total = lambda bins: F.aggregate(bins, F.lit(0).cast("long"), lambda a, b: a + b)
+    named = sums.where(F.col("language").isNotNull() & (F.col("documents") >= rules.reference_documents))
+    largest = named.orderBy(total(F.col("common")).desc(), "language").limit(rules.languages)
+    # Without the text that is judged, a language may have one document too few.
+    few = (F.col("documents") == rules.reference_documents).alias("few")
+    listed = [r.asDict() for r in largest.select("language", few, *BINS).collect()]
+    key, others, *refs = (fresh(n, rows) for n in ("_language", "_others", "_chars", "_common"))
+    by_language = named.where(total(F.col("common")) >= rules.reference_words).select(
+        F.col("language").alias(key),
+        F.col("documents").alias(others),
+        *[F.col(name).alias(c) for name, c in zip(BINS, refs, strict=True)],
+    )
+    # As many rows as languages: sent to all tasks only if that is a small number.
+    by_language = hint_if_small(by_language, rules.languages)
+    spoken = rows[language].cast("string") if language else F.lit("all")
+    joined = rows.join(by_language, spoken == F.col(key), "left")
+    own = {name: F.col(q)[name] for name in BINS}
+    rest = {name: _less(F.col(c), own[name]) for name, c in zip(BINS, refs, strict=True)}
+    enough = (F.col(others) > rules.reference_documents) & (total(rest["common"]) >= rules.reference_words)
+    distances = {
+        name: F.when(enough, _distance(own[name], rest[name], bins)).otherwise(
+            _nearest(own[name], spoken, name, listed)
         )
-        # As many rows as languages: sent to all tasks only if that is a small number.
-        by_language = hint_if_small(by_language, LANGUAGES)
-        joined = rows.join(by_language, rows[language].cast("string") == F.col(key), "left")
-        distances = {
-            name: F.when(F.col(key).isNotNull(), _distance(F.col(q)[name], F.col(c), bins)).otherwise(
-                _nearest(F.col(q)[name], [[r[k] for k in names[name]] for r in listed], bins)
-            )
-            for (name, bins), c in zip(BINS.items(), own, strict=True)
-        }
-    else:
-        joined, together = rows, sums.first()
-        distances = {
-            name: _distance(
-                F.col(q)[name], F.array(*[F.lit(together[c] if together else 0).cast("long") for c in names[name]]), bins
-            )
-            for name, bins in BINS.items()
-        }
+        for name, bins in BINS.items()
+    }
     n, repeats = F.col(q)["n_words"], F.col(q)["n_repeat_words"]
     results = {c: F.col(q)[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines")}
     results["n_repeat_words"] = repeats
     results["char_distance"], results["word_distance"] = distances["chars"], distances["common"]
     results["base_failed"] = (n < rules.min_words) | (100 * repeats > rules.repeat_percent * n)
-    others = [c for c in rows.columns if c != q and c.lower() not in results]
-    judged = joined.select(*others, *[c.alias(name) for name, c in results.items()])
+    left = [c for c in rows.columns if c != q and c.lower() not in results]
+    judged = joined.select(*left, *[c.alias(name) for name, c in results.items()])
     n = F.col("n_words")
     usual = (n < rules.guard_words) | (F.col("char_distance") <= rules.char_distance)
     worded = (n < rules.word_guard) | (F.col("word_distance") <= rules.word_distance)
