@@ -22,7 +22,7 @@ EXACT = "decimal(38,12)"
 PARTS = 10_000
 
 
-def _sums(amount: str | Column) -> tuple[Column, Column, Column]:
+def parts(amount: str | Column) -> tuple[Column, Column, Column]:
     """The exact sum of ordinary amounts, the sum of all others, and how many there are."""
     x = F.col(amount) if isinstance(amount, str) else amount
     ordinary = F.abs(x) < LARGE  # NaN compares as larger than any number
@@ -33,13 +33,17 @@ def _sums(amount: str | Column) -> tuple[Column, Column, Column]:
 
 def total(amount: str | Column) -> Column:
     """The sum as DOUBLE; NULL when there is no amount, NaN when one is NaN."""
-    exact, other, n = _sums(amount)
+    exact, other, n = parts(amount)
     return F.when(n > 0, exact.cast("double") + other)
 
 
 def mean(amount: str | Column) -> Column:
     """Mean over the non-null amounts; NULL when there is none."""
-    exact, other, n = _sums(amount)
+    return mean_of(*parts(amount))
+
+
+def mean_of(exact: Column, other: Column, n: Column) -> Column:
+    """The mean from the :func:`parts` of the amounts, or from sums of such parts."""
     whole = (exact * PARTS).cast("double")
     return F.try_divide(whole, n * PARTS) + F.try_divide(other, n)
 

@@ -77,15 +77,21 @@ def enrich(
     processing_date: dt.date | None = None,
     cfg: RuleConfig = RuleConfig(),
     folder: str | None = None,
+    stats: DataFrame | None = None,
+    ranks: DataFrame | None = None,
 ) -> DataFrame:
     """Transactions in, the 18 columns of the processed table out.
 
     Lazy without a ``folder``. With one, user statistics and amount ranks are
-    staged below it first; each then reads one or two columns of the input.
+    staged below it first; each then reads one or two columns of the input. Who
+    keeps statistics gives them as ``stats`` (:func:`user_stats`) and ``ranks``
+    (:func:`distinct_value_ranks`); the input is then read once.
     """
-    stats = user_stats(transactions).drop("user_amount_stddev")
-    stats = stage(stats, folder and f"{folder}/users")
-    ranks = distinct_value_ranks(transactions, "amount", "amount_percentile")
+    if stats is None:
+        stats = user_stats(transactions)
+    stats = stage(stats.drop("user_amount_stddev"), folder and f"{folder}/users")
+    if ranks is None:
+        ranks = distinct_value_ranks(transactions, "amount", "amount_percentile")
     ranks = stage(ranks, folder and f"{folder}/ranks")
     rows = with_percentile(with_user_stats(transactions, stats), ranks=ranks)
     rows = rows.withColumns(

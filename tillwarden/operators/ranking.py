@@ -51,17 +51,26 @@ def _placed(counts: DataFrame, column: str, width: int) -> DataFrame:
     )
 
 
+def value_counts(rows: DataFrame, column: str) -> DataFrame:
+    """How many rows have each value: ``column, rows_at``."""
+    return rows.groupBy(column).agg(F.count("*").alias("rows_at"))
+
+
 def distinct_value_ranks(rows: DataFrame, column: str, alias: str) -> DataFrame:
-    """Percent rank of each distinct value: ``column, alias, rows_at``.
+    """Percent rank of each distinct value: ``column, alias, rows_at``."""
+    return ranks_of(value_counts(rows, column), column, alias)
+
+
+def ranks_of(counts: DataFrame, column: str, alias: str) -> DataFrame:
+    """Percent rank of each value of :func:`value_counts`.
 
     Ranks are running sums of row counts, so only distinct values are sorted:
     in buckets that hold about the same number of them, cut at approximate
     quantiles. What the buckets before contribute is a running sum over the
     bucket totals, at most ``width**2 + 2`` rows.
     """
-    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     width = min(64, ceil(sqrt(4 * partitions)))
-    counts = rows.groupBy(column).agg(F.count("*").alias("rows_at"))
     placed = _placed(counts, column, width)
     earlier = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     starts = (

@@ -11,6 +11,7 @@ from tillwarden.config import RuleConfig
 from tillwarden.operators.alerts import all_alerts
 from tillwarden.operators.enrich import enrich
 from tillwarden.plans.reports import batch_reports
+from tillwarden.plans.statistics import Statistics
 from tillwarden.plans.training import Trained, run_training
 from tillwarden.session import shared_folder
 from tillwarden.sources import warehouse
@@ -40,6 +41,11 @@ def land(
         )
 
 
+def statistics(spark: SparkSession, database: str) -> Statistics:
+    """The kept statistics of the raw table, beside it."""
+    return Statistics(spark, f"{warehouse.location(spark, database, warehouse.RAW)}_statistics")
+
+
 def process(
     spark: SparkSession,
     database: str,
@@ -50,14 +56,24 @@ def process(
     """Rebuild the processed table from the raw one; False when that is empty.
 
     User means and percentiles look at the whole history, so the whole table is
-    replaced: it has one row per raw row, whatever the run date. Should a run
-    break off meanwhile, the next one rebuilds the table from the raw one. ``alerts`` also rebuilds the alert table, for a warehouse without
+    replaced: it has one row per raw row, whatever the run date. The statistics
+    themselves are kept, and read only the raw rows that are new since the last
+    run. Readers have the old table until the new one is complete. ``alerts`` also rebuilds the alert table, for a warehouse without
     a running alert stream: one table must not have both writers.
     """
     raw = warehouse.table(spark, database, warehouse.RAW)
     if raw.isEmpty():
         return False
-    processed = enrich(raw, processing_date, cfg, shared_folder(spark, "enrich"))
+    kept = statistics(spark, database)
+    kept.update(spark.readStream.table(f"{database}.{warehouse.RAW}"))
+    processed = enrich(
+        raw,
+        processing_date,
+        cfg,
+        shared_folder(spark, "enrich"),
+        stats=kept.user_stats(),
+        ranks=kept.amount_ranks(),
+    )
     many_dates = processing_date is None
     warehouse.replace_partitions(processed, database, warehouse.PROCESSED, many_dates, whole=True)
     if alerts:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tillwarden import schemas
+from tillwarden.sources.snapshots import Snapshots
 
 RAW = "transactions_raw"
 PROCESSED = "transactions_processed"
@@ -43,6 +44,17 @@ def in_layout(rows: DataFrame, name: str) -> DataFrame:
     return rows.select(*LAYOUTS[name].names)
 
 
+def location(spark: SparkSession, database: str, name: str) -> str:
+    """The folder of a table."""
+    described = spark.sql(f"DESCRIBE EXTENDED {database}.{name}")
+    return described.where("col_name = 'Location'").first()["data_type"].rstrip("/")
+
+
+def snapshots(spark: SparkSession, database: str, name: str) -> Snapshots:
+    """The versions of a table that is replaced as a whole, beside the table's own folder."""
+    return Snapshots(spark, f"{location(spark, database, name)}_versions")
+
+
 def replace_partitions(
     rows: DataFrame, database: str, name: str, many_dates: bool = True, whole: bool = False
 ) -> None:
@@ -50,7 +62,10 @@ def replace_partitions(
 
     ``whole`` replaces the table, dates that ``rows`` lack included. A rebuild of
     all rows needs that: under a run date, rows would else stay under the dates of
-    earlier runs as well.
+    earlier runs as well. The rows are written as a new version and the table is
+    switched to it in one step: a run that breaks off leaves the old rows, and no
+    reader meets an empty table. From then on :func:`table` reads the version, as does
+    the view ``<name>_current``, and dates are replaced inside it.
 
     With many dates, rebalancing brings each date's rows together, so a date is
     a few files and not one per task; AQE splits a date too big for one task.
@@ -60,11 +75,21 @@ def replace_partitions(
     rows = in_layout(rows, name)
     if many_dates:
         rows = rows.hint("rebalance", PARTITION)
+    versions = snapshots(spark, database, name)
+    if whole:
+        folder = versions.publish(rows, [PARTITION])
+        columns = ", ".join(f"`{c}`" for c in LAYOUTS[name].names)
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name}_current AS SELECT {columns} FROM parquet.`{folder}`")
+        return
     mode = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(mode)
-    spark.conf.set(mode, "static" if whole else "dynamic")
+    spark.conf.set(mode, "dynamic")
     try:
-        rows.write.mode("overwrite").insertInto(f"{database}.{name}")
+        folder = versions.current()
+        if folder:
+            rows.write.mode("overwrite").partitionBy(PARTITION).parquet(folder)
+        else:
+            rows.write.mode("overwrite").insertInto(f"{database}.{name}")
     finally:
         spark.conf.set(mode, before)
 
@@ -93,4 +118,5 @@ def append_stream(
 
 
 def table(spark: SparkSession, database: str, name: str) -> DataFrame:
-    return spark.table(f"{database}.{name}")
+    """The rows of a table; of one replaced as a whole, those of its current version."""
+    return snapshots(spark, database, name).read(LAYOUTS[name]) or spark.table(f"{database}.{name}")
