@@ -159,3 +159,12 @@ def test_percentile_groups_once(spark, small, no_broadcast):
     made = re.findall(r"(?<!\w)Exchange hashpartitioning\(amount#\d+, \d+\), ENSURE", final)
     reused = final.count("ReusedExchange")
     assert len(made) - reused <= 1
+
+
+def test_bursts_sort_no_rows(spark, small, no_broadcast):
+    """Counting, joining and the last id: by hash, whatever the size; sorted are only the rows of last moments."""
+    rows = alerts.with_event_time(sample.placeless_transactions(spark, small))
+    text = plan(alerts.rapid_alerts(rows))
+    assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text
+    below = text[text.index("ShuffledHashJoin") :]
+    assert "Sort" not in below.replace("ShuffledHashJoin", "") and below.count("HashAggregate") == 2

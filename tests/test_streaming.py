@@ -10,7 +10,7 @@ from tillwarden import schemas
 from tillwarden.config import RuleConfig
 from tillwarden.operators.alerts import all_alerts
 from tillwarden.operators.routing import notifications
-from tillwarden.sources import sample, warehouse
+from tillwarden.sources import messages, sample, warehouse
 from tillwarden.streaming import detect, monitor
 
 NAMES = schemas.TRANSACTION.names
@@ -189,3 +189,81 @@ def test_sample_stream_equals_sample_batch(spark, small, tmp_path):
     assert batch.exceptAll(stream).where(F.col("processing_date") < "2024-01-28").isEmpty()
     assert stream.where("transaction_id IS NOT NULL").count() == 102
     assert notifications(spark.table("sampled").withColumn("alert_timestamp", F.lit(None))).count()
+
+
+def _drained(spark, database, tmp_path):
+    detect.drain(spark, database, str(tmp_path / "checkpoint"))
+    found = warehouse.alerts(spark, database).where("alert_type = 'RAPID_TRANSACTIONS'").collect()
+    return sorted((r.user_id, r.transaction_count, r.last_transaction_id) for r in found)
+
+
+def test_open_windows_come_out_when_the_stream_stops(spark, topic, database, tmp_path):
+    """Drained, continued and drained again: each burst once, at last with its final count."""
+    burst = [samples.wire_row(f"a{i}", "busy", at=samples.clock(i)) for i in range(4)]
+    topic.send(*burst, *[samples.wire_row(f"c{i}", "calm", at=samples.clock(i)) for i in range(3)])
+    _run(topic, database, tmp_path, lateness="1 minute")
+    assert _bursts(spark, database) == []
+    for _ in range(2):
+        assert _drained(spark, database, tmp_path) == [("busy", 4, "a3")]
+    topic.send(samples.wire_row("a9", "busy", at=samples.clock(9)), samples.wire_row("c9", "calm", at=samples.clock(9)))
+    _run(topic, database, tmp_path, lateness="1 minute")
+    assert _drained(spark, database, tmp_path) == [("busy", 5, "a9"), ("calm", 4, "c9")]
+    topic.send(_later())
+    _run(topic, database, tmp_path, lateness="1 minute")
+    # Before the next drain the table's own alerts take the place of the open ones.
+    found = warehouse.alerts(spark, database).where("alert_type = 'RAPID_TRANSACTIONS'")
+    assert found.count() == 2 == found.select("alert_id").distinct().count()
+    assert _drained(spark, database, tmp_path) == [("busy", 5, "a9"), ("calm", 4, "c9")]
+    assert warehouse.open_alerts(spark, database).read(schemas.ALERT_TABLE).count() == 0
+
+
+def test_a_drained_stream_equals_the_batch(spark, small, database, tmp_path):
+    cfg, checkpoint = RuleConfig(rapid_window="1 day"), str(tmp_path / "c")
+    found = detect.detect(sample.transaction_stream(spark, small), cfg, lateness="1 day")
+    warehouse.append_stream(found, database, warehouse.ALERTS, checkpoint, once=True).awaitTermination()
+    before = _stored(spark, database).count()
+    detect.drain(spark, database, checkpoint, cfg)
+    batch = all_alerts(sample.transactions(spark, small), cfg).drop("alert_timestamp")
+    stream = warehouse.alerts(spark, database).drop("alert_timestamp")
+    assert stream.exceptAll(batch).isEmpty() and batch.exceptAll(stream).isEmpty()
+    assert stream.count() > before
+
+
+def _monitored(spark, alerts, tmp_path):
+    out = str(tmp_path / "out")
+    for query in monitor.start_monitor(alerts, out, str(tmp_path / "monitor"), once=True).values():
+        query.awaitTermination()
+    sent = sorted((r.user_id, r.channel) for r in spark.read.json(f"{out}/notifications").collect())
+    return sent, spark.read.json(f"{out}/audit").count()
+
+
+def test_a_burst_is_notified_once_open_or_closed(spark, topic, database, tmp_path):
+    topic.send(*[samples.wire_row(f"a{i}", "busy", at=samples.clock(i)) for i in range(4)])
+    _run(topic, database, tmp_path, lateness="1 minute")
+    detect.drain(spark, database, str(tmp_path / "checkpoint"))
+    want = [("busy", "email"), ("busy", "slack")]
+    assert _monitored(spark, monitor.alert_stream(spark, database), tmp_path) == (want, 1)
+    topic.send(_later())
+    _run(topic, database, tmp_path, lateness="1 minute")
+    detect.drain(spark, database, str(tmp_path / "checkpoint"))
+    assert _monitored(spark, monitor.alert_stream(spark, database), tmp_path) == (want, 2)
+
+
+def test_a_replayed_message_is_notified_once(spark, tmp_path):
+    """The same file twice, an alert without an id, one without a time, and an old one."""
+    folder = tmp_path / "alerts"
+    folder.mkdir()
+    alerts = [
+        {"alert_id": "x", "severity": "MEDIUM", "user_id": "a", "alert_timestamp": "2024-03-01T10:00:00"},
+        {"alert_id": "y", "severity": "CRITICAL", "user_id": "b"},
+        {"severity": "MEDIUM", "user_id": "c", "alert_timestamp": "2024-03-01T10:00:01"},
+        {"severity": "MEDIUM", "user_id": "d", "alert_timestamp": "2024-03-01T10:00:02"},
+    ]
+    lines = "\n".join(map(json.dumps, alerts)) + "\n"
+    want = [("a", "email"), *[("b", c) for c in ("email", "slack", "sms")], ("c", "email"), ("d", "email")]
+    for number in range(3):
+        (folder / f"{number}.txt").write_text(lines)
+        stream = messages.decode_alerts(spark.readStream.text(str(folder)))
+        assert _monitored(spark, stream, tmp_path) == (want, 4 * (number + 1))
+    batch = monitor.first_of_each(messages.decode_alerts(spark.read.text(str(folder))))
+    assert batch.count() == 4

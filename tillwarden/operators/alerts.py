@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwarden import schemas
@@ -68,18 +68,44 @@ def rapid_alerts(
     count is merged before the shuffle, so a very busy user costs no more.
     ``time_column`` is the event time, or the broker's arrival time.
     """
-    last = F.max_by("transaction_id", F.struct(time_column, "transaction_id"))
-    slot, start = F.window(time_column, cfg.rapid_window), F.col("slot.start")
+    rows = transactions.where(F.col("user_id").isNotNull())
+    slot = F.window(time_column, cfg.rapid_window)
     if not transactions.isStreaming:
-        # Only a stream needs the whole window as its key, to match the watermark.
-        slot, start = slot["start"], F.col("slot")
-    bursts = (
-        transactions.where(F.col("user_id").isNotNull())
-        .groupBy(slot.alias("slot"), "user_id")
-        .agg(F.count("*").alias("transaction_count"), last.alias("last_transaction_id"))
-        .where(F.col("transaction_count") > cfg.rapid_limit)
+        return burst_alerts(_bursts(rows, slot["start"], cfg, time_column), cfg)
+    # A stream needs the whole window as its key, to match the watermark.
+    last = F.max_by("transaction_id", F.struct(time_column, "transaction_id"))
+    windows = rows.groupBy(slot.alias("slot"), "user_id").agg(
+        F.count("*").alias("transaction_count"), last.alias("last_transaction_id")
+    )
+    return burst_alerts(windows.withColumn("start", F.col("slot.start")), cfg)
+
+
+def _bursts(rows: DataFrame, start: Column, cfg: RuleConfig, time_column: str) -> DataFrame:
+    """Windows with too many rows, with the id of the latest row, and of rows alike in time the largest id.
+
+    The first step keeps a count and a time, which a hash aggregate holds in place.
+    Ids are looked up only for windows over the limit, among the rows of their last
+    moment; the join spreads a busy user by that moment and builds its table from
+    the bursts, so that no rows are sorted.
+    """
+    rows = rows.select("user_id", "transaction_id", F.col(time_column).alias("at"), start.alias("start"))
+    counted = rows.groupBy("start", "user_id").agg(
+        F.count("*").alias("transaction_count"), F.max("at").alias("at")
+    )
+    over = counted.where(F.col("transaction_count") > cfg.rapid_limit)
+    keys = ["start", "user_id", "at"]
+    # The count goes along as a key: it follows from the others.
+    return (
+        rows.join(over.hint("shuffle_hash"), keys)
+        .groupBy(*keys, "transaction_count")
+        .agg(F.max("transaction_id").alias("last_transaction_id"))
     )
-    return bursts.select(
+
+
+def burst_alerts(windows: DataFrame, cfg: RuleConfig = RuleConfig()) -> DataFrame:
+    """Alerts of windows (``start, user_id, transaction_count, last_transaction_id``) over the limit."""
+    start = F.col("start")
+    return windows.where(F.col("transaction_count") > cfg.rapid_limit).select(
         rules.stable_id(
             F.lit(RAPID_TRANSACTIONS), "user_id", F.date_format(start, "yyyy-MM-dd'T'HH:mm:ss")
         ).alias("alert_id"),
@@ -102,6 +128,12 @@ def all_alerts(
     both = point_alerts(rows, cfg).unionByName(
         rapid_alerts(rows, cfg, time_column), allowMissingColumns=True
     )
-    return both.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.ALERT_TABLE]
+    return in_table_layout(both)
+
+
+def in_table_layout(alerts: DataFrame) -> DataFrame:
+    """The columns of the alert table; those an alert lacks are null."""
+    columns = {f.name: F.col(f.name) if f.name in alerts.columns else F.lit(None) for f in schemas.ALERT_TABLE}
+    return alerts.select(
+        *[columns[f.name].cast(f.dataType).alias(f.name) for f in schemas.ALERT_TABLE]
     )

@@ -115,13 +115,6 @@ rapid AS (
 ALERTS = """
 alerts AS (SELECT * FROM point UNION ALL BY NAME SELECT * FROM rapid)"""
 
-# A stream has only closed the days that end before the newest event minus a day.
-STREAMED = """
-alerts AS (
-  SELECT * FROM point UNION ALL BY NAME
-  SELECT * FROM rapid
-  WHERE processing_date + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events))"""
-
 NOTIFY = """
 SELECT alert_id, alert_type, a.severity, user_id, coalesce(amount, 0) AS amount, channel
 FROM alerts a JOIN (VALUES ('CRITICAL', 'email'), ('CRITICAL', 'sms'), ('CRITICAL', 'slack'),
@@ -131,8 +124,8 @@ FROM alerts a JOIN (VALUES ('CRITICAL', 'email'), ('CRITICAL', 'sms'), ('CRITICA
 AUDIT = "alert_id, alert_type, severity, user_id, transaction_id, amount, location, merchant_id"
 
 
-def _alerts(select: str, alerts: str = ALERTS) -> str:
-    return _with(TX, POINT, RAPID, alerts, select=select)
+def _alerts(select: str) -> str:
+    return _with(TX, POINT, RAPID, ALERTS, select=select)
 
 
 def _point(kind: str) -> str:
@@ -285,8 +278,8 @@ ORACLE: dict[str, str] = {
         f"SELECT {AUDIT}, 'IMMEDIATE_RESPONSE' AS action FROM alerts WHERE severity = 'CRITICAL'"
     ),
     "alert_audit_log": _alerts(f"SELECT {AUDIT} FROM alerts"),
-    "stream_alerts": _alerts("SELECT * FROM alerts", STREAMED),
-    "stream_notifications": _alerts(NOTIFY, STREAMED),
+    "stream_alerts": _alerts("SELECT * FROM alerts"),
+    "stream_notifications": _alerts(NOTIFY),
     "decode_transactions": _tx(
         f"SELECT {', '.join(_wire(c) for c in WIRE.split(','))}, m IN (0, 1) AS is_corrupt "
         f"FROM {DAMAGED}"

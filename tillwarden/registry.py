@@ -290,27 +290,28 @@ def row_counts(spark, sf_dir):
 
 
 def _stream_alerts(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """The alert table filled by the detection stream over all events."""
+    """The alert table filled by the detection stream over all events, and what it left open."""
     database, checkpoints = _warehouse(spark)
     found = detect.detect(sample.transaction_stream(spark, sf_dir), DAILY, lateness="1 day")
     warehouse.append_stream(
         found, database, warehouse.ALERTS, f"{checkpoints}/detect", once=True
     ).awaitTermination()
+    detect.drain(spark, database, f"{checkpoints}/detect", DAILY)
     return database, checkpoints
 
 
 @query
 def stream_alerts(spark, sf_dir):
-    """Bursts still inside the watermark at the end of the data are not out yet."""
+    """All alerts: those of closed windows, and of windows open at the end of the data."""
     database, _ = _stream_alerts(spark, sf_dir)
-    return warehouse.table(spark, database, warehouse.ALERTS).drop("alert_timestamp")
+    return warehouse.alerts(spark, database).drop("alert_timestamp")
 
 
 @query
 def stream_notifications(spark, sf_dir):
-    """Detection stream, then the monitor stream over its alert table."""
+    """Detection stream, then the monitor stream over its alerts."""
     database, checkpoints = _stream_alerts(spark, sf_dir)
-    found = spark.readStream.table(f"{database}.{warehouse.ALERTS}")
+    found = monitor.alert_stream(spark, database)
     folder = shared_folder(spark, "monitor")
     for running in monitor.start_monitor(found, folder, checkpoints, once=True).values():
         running.awaitTermination()

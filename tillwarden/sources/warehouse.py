@@ -117,6 +117,23 @@ def append_stream(
     return writer.toTable(f"{database}.{name}")
 
 
+def open_alerts(spark: SparkSession, database: str) -> Snapshots:
+    """The alerts of windows that were open when the detection stream last stopped."""
+    return Snapshots(spark, f"{location(spark, database, ALERTS)}_open")
+
+
+def alerts(spark: SparkSession, database: str) -> DataFrame:
+    """The alert table, and the alerts of open windows that it does not have yet.
+
+    An alert of an open window may still grow; once the table has the id, it is final.
+    """
+    final = table(spark, database, ALERTS)
+    still_open = open_alerts(spark, database).read(LAYOUTS[ALERTS])
+    if still_open is None:
+        return final
+    return final.unionByName(still_open.join(final.select("alert_id"), "alert_id", "left_anti"))
+
+
 def table(spark: SparkSession, database: str, name: str) -> DataFrame:
     """The rows of a table; of one replaced as a whole, those of its current version."""
     return snapshots(spark, database, name).read(LAYOUTS[name]) or spark.table(f"{database}.{name}")
