@@ -218,6 +218,59 @@ def test_op8_places_every_id_once_with_little_padding(spark, documents, byte_lib
     assert first and all(r.ids_crc32 == crc(want[r.doc_id]) for r in first)
 
 
+def plain_fill(documents, limits):
+    """Sequences a packer needs that takes examples in order, whole, and opens a sequence when one does not fit."""
+    made = 1
+    tokens = loss = segments = 0
+    for size, bears in documents:
+        while size:
+            room = min(limits.tokens - tokens, size - bears + limits.loss_tokens - loss)
+            if segments == limits.segments or (size > room and tokens) or room <= 0:
+                made, tokens, loss, segments = made + 1, 0, 0, 0
+                continue
+            take = min(size, room)
+            held = max(0, take - (size - bears))
+            tokens, loss, segments = tokens + take, loss + held, segments + 1
+            size, bears = size - take, bears - held
+    return made
+
+
+@pytest.mark.parametrize("limits", [packing.Limits(loss_tokens=512), packing.Limits(1024, 60, 640), packing.Limits(256, 128, 128)])
+def test_op8_masked_examples(spark, byte_library, limits):
+    """Instruction data: prompts bear no loss; all limits hold, nearly no padding, fewer sequences than in order."""
+    chance, rows = edges.random.Random(4), []
+    for i in range(3000):
+        words = chance.choice([20, 60, 150, 400])
+        text = " ".join(chance.choice(["the", "answer", "is", "42,", "Köln", "naïve"]) for _ in range(chance.randrange(1, words)))
+        size = len(ids_of(byte_library, text)) + 1
+        rows.append((i, text, chance.choice([None, -3, size + 9, size // 2, int(size * 0.8), size])))
+    docs = ready(spark).createDataFrame(rows, "doc_id long, text string, prompt long").repartition(1)
+    got = packing.pack(docs, BYTE, limits=limits, free="prompt").collect()
+    want = {d: ids_of(byte_library, t, [0]) for d, t, _ in rows}
+    padding, total = check_pieces(got, want, limits)
+    loss, free = Counter(), {d: min(max(p or 0, 0), len(want[d])) for d, _, p in rows}
+    for r in got:
+        end = r.start + len(r.ids) // 4
+        assert r.loss_tokens == max(0, end - max(r.start, free[r.doc_id]))
+        loss[r.sequence_id] += r.loss_tokens
+    assert max(loss.values()) <= limits.loss_tokens
+    assert padding <= total / 1000
+    assert len(loss) < plain_fill([(len(i), len(i) - free[d]) for d, i in want.items()], limits)
+
+
+def test_op8_takes_the_largest_dot_product():
+    """With much room for loss and little for tokens the piece that bears more loss goes first, and the other way."""
+    packer = packing.Packer(packing.Limits(tokens=100, segments=10, loss_tokens=100))
+    sizes, losses = np.array([40, 38]), np.array([2, 38])
+    assert packer._best(sizes, losses, 100, 10, 100) == 1
+    assert packer._best(sizes, losses, 100, 10, 38) == 1
+    assert packer._best(sizes, losses, 100, 10, 2) == 0
+    assert packer._best(np.array([60, 20]), np.array([0, 20]), 50, 10, 30) == 1
+    # None fits: the cut that fills most of the room; without any, nothing.
+    assert packer._best(np.array([80, 90]), np.array([80, 10]), 50, 10, 5) == 1
+    assert packer._best(np.array([80, 90]), np.array([80, 90]), 50, 10, 0) is None
+
+
 def test_op8_edges(spark, byte_library):
     rows = [(i, r[1]) for i, r in enumerate(edges.rows())] + [(10_000 + i, None) for i in range(700)]
     docs = ready(spark).createDataFrame(rows, "doc_id long, text string").repartition(2)
