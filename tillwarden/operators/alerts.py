@@ -71,7 +71,7 @@ def rapid_alerts(
     rows = transactions.where(F.col("user_id").isNotNull())
     slot = F.window(time_column, cfg.rapid_window)
     if not transactions.isStreaming:
-        return burst_alerts(_bursts(rows, slot["start"], cfg, time_column), cfg)
+        return burst_alerts(bursts(rows, slot["start"], cfg, time_column), cfg)
     # A stream needs the whole window as its key, to match the watermark.
     last = F.max_by("transaction_id", F.struct(time_column, "transaction_id"))
     windows = rows.groupBy(slot.alias("slot"), "user_id").agg(
@@ -80,7 +80,7 @@ def rapid_alerts(
     return burst_alerts(windows.withColumn("start", F.col("slot.start")), cfg)
 
 
-def _bursts(rows: DataFrame, start: Column, cfg: RuleConfig, time_column: str) -> DataFrame:
+def bursts(rows: DataFrame, start: Column, cfg: RuleConfig, time_column: str) -> DataFrame:
     """Windows with too many rows, with the id of the latest row, and of rows alike in time the largest id.
 
     The first step keeps a count and a time, which a hash aggregate holds in place.

@@ -122,16 +122,25 @@ def open_alerts(spark: SparkSession, database: str) -> Snapshots:
     return Snapshots(spark, f"{location(spark, database, ALERTS)}_open")
 
 
+def repaired_alerts(spark: SparkSession, database: str) -> Snapshots:
+    """The alerts raised by late rows, and those of the windows they changed."""
+    return Snapshots(spark, f"{location(spark, database, ALERTS)}_repaired")
+
+
 def alerts(spark: SparkSession, database: str) -> DataFrame:
-    """The alert table, and the alerts of open windows that it does not have yet.
+    """The alert table as corrected by late rows, and the alerts of open windows that it does not have yet.
 
     An alert of an open window may still grow; once the table has the id, it is final.
     """
-    final = table(spark, database, ALERTS)
-    still_open = open_alerts(spark, database).read(LAYOUTS[ALERTS])
-    if still_open is None:
-        return final
-    return final.unionByName(still_open.join(final.select("alert_id"), "alert_id", "left_anti"))
+    found = table(spark, database, ALERTS)
+    for versions, first in ((repaired_alerts, True), (open_alerts, False)):
+        other = versions(spark, database).read(LAYOUTS[ALERTS])
+        if other is None:
+            continue
+        above, below = (other, found) if first else (found, other)
+        ids = above.select("alert_id").distinct()
+        found = above.unionByName(below.join(ids, "alert_id", "left_anti"))
+    return found
 
 
 def table(spark: SparkSession, database: str, name: str) -> DataFrame:
