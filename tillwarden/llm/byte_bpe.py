@@ -184,6 +184,7 @@ class RankCoder:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.of_id = {rank: token for token, rank in self.ranks.items()}
         self.known = Memo(self._ids, PIECES_KEPT)
+        self.decoded = Memo(self._bytes, PIECES_KEPT)
 
     def _ids(self, piece: str) -> bytes:
         return np.array(merge(piece.encode(), self.ranks), "<u4").tobytes()
@@ -207,14 +208,16 @@ class RankCoder:
             ends.append((np.cumsum(lengths) // 4).astype("<u4").tobytes())
         return ids, ends
 
-    def decode(self, ids: bytes) -> bytes:
+    def _bytes(self, ids: bytes) -> bytes:
         return b"".join(map(self.of_id.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
-    def decode_piece(self, ids: bytes, ends: bytes, piece: int) -> bytes:
-        """The bytes of one piece, found by the offsets kept from encoding."""
-        stops = np.frombuffer(ends, "<u4")
-        start = int(stops[piece - 1]) if piece else 0
-        return self.decode(ids[4 * start : 4 * int(stops[piece])])
+    def decode(self, ids: bytes, ends: bytes) -> list[bytes]:
+        """The bytes of each piece, cut by the offsets kept from encoding; pieces that come again are remembered."""
+        stops = (4 * np.frombuffer(ends, "<u4").astype(np.int64)).tolist()
+        if (stops[-1] if stops else 0) != len(ids):
+            raise ValueError("the last piece does not end where the ids do")
+        get = self.decoded.__getitem__
+        return [get(ids[a:b]) for a, b in zip([0, *stops], stops, strict=False)]
 
 
 @lru_cache(maxsize=2)
@@ -237,7 +240,8 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
 def _decode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     coder = rank_coder(path)
     for batch in batches:
-        decoded = [coder.decode(ids) for ids in batch.column("ids").to_pylist()]
+        rows = zip(batch.column("ids").to_pylist(), batch.column("piece_ends").to_pylist(), strict=True)
+        decoded = [b"".join(coder.decode(ids, ends)) for ids, ends in rows]
         yield pa.RecordBatch.from_arrays(
             [*batch.columns, pa.array(decoded, pa.binary())], names=[*batch.schema.names, "decoded"]
         )
@@ -256,7 +260,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """``doc_id``, ``ids`` and the ``decoded`` bytes; an id without a token is an error."""
-    return encoded.select("doc_id", "ids").mapInArrow(
-        partial(_decode, path=path), "doc_id long, ids binary, decoded binary"
+    """The rows of :func:`encode` with the ``decoded`` bytes; an id without a token is an error."""
+    return encoded.select("doc_id", "ids", "piece_ends").mapInArrow(
+        partial(_decode, path=path), "doc_id long, ids binary, piece_ends binary, decoded binary"
     )
