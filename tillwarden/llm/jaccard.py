@@ -357,13 +357,14 @@ def _sketch(
             yield pa.RecordBatch.from_arrays(
                 [
                     keys.slice(a, b - a),
+                    batch.column("own").slice(a, b - a),
                     pa.array(counts, pa.int64()),
                     pa.array(nodes, pa.binary()),
                     pa.array(spare, pa.int64()),
                     pa.array(prefixes, pa.list_(pa.int64())),
                     pa.array(bitmaps, pa.binary()),
                 ],
-                names=["doc_id", "n", "node", "spare", "prefix", "bits"],
+                names=["doc_id", "own", "n", "node", "spare", "prefix", "bits"],
             )
 
 
@@ -552,19 +553,21 @@ def jaccard_join(docs: DataFrame, folder: str, rules: JoinRules = JoinRules()) -
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     common = spark.sparkContext.broadcast(common_tokens(docs, rules))
     # Texts are hashed twice: what is known of a row is kept, prefixes only of nodes.
-    named = docs.withColumn("own", F.xxhash64("text")).mapInArrow(
+    hashed = docs.withColumn("own", F.xxhash64("text"))
+    named = hashed.mapInArrow(
         partial(_names, rules=rules), "doc_id long, own long, n long, node binary"
     )
     found = staged(named, f"{folder}/found")
-    sketch = docs.mapInArrow(
+    sketch = hashed.mapInArrow(
         partial(_sketch, rules=rules, common=common),
-        "doc_id long, n long, node binary, spare long, prefix array<long>, bits binary",
+        "doc_id long, own long, n long, node binary, spare long, prefix array<long>, bits binary",
     )
     nodes = (
         sketch.where("node is not null")
         .groupBy("node")
         .agg(
             F.min("doc_id").alias("least"),
+            F.coalesce(F.min_by("own", "doc_id"), F.min("own")).alias("text"),
             F.first("n").alias("n"),
             F.first("spare").alias("spare"),
             F.first("prefix").alias("prefix"),
@@ -607,14 +610,16 @@ def jaccard_join(docs: DataFrame, folder: str, rules: JoinRules = JoinRules()) -
 
     # Whatever links is connected by pairs that may: these families are compared
     # exactly, each text sent once unless its family has more than a block. Sets
-    # are made again, each from a text of its smallest id.
+    # are made again, each from a text of its smallest id, found by id and hash: many
+    # rows may have one id, or none.
     families = components(maybe, f"{folder}/maybe")
     families = staged(families.union(families.select("label", "label").distinct()), f"{folder}/families")
     sizes = families.groupBy("label").agg(F.count("*").alias("held"))
-    wanted = families.join(sizes, "label").join(nodes.select("seat", "node", "least"), "seat")
-    wanted = wanted.select(F.col("label").alias("key"), "seat", "node", "least", "held")
+    wanted = families.join(sizes, "label").join(nodes.select("seat", "node", "least", F.col("text").alias("hash")), "seat")
+    wanted = wanted.select(F.col("label").alias("key"), "seat", "node", "least", "hash", "held")
     members = hint_if_small(staged(in_blocks(wanted, rules), f"{folder}/members"))
-    again = docs.join(members, docs["doc_id"].eqNullSafe(members["least"]))
+    same = docs["doc_id"].eqNullSafe(members["least"]) & (F.xxhash64(docs["text"]) == members["hash"])
+    again = docs.join(members, same)
     texts = again.select("text", "node", *PLACE).mapInArrow(
         partial(_member_texts, rules=rules),
         "key long, one int, other int, block int, seat long, text string",
