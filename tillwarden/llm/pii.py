@@ -88,24 +88,30 @@ def base_spans(text: str) -> list[Span]:
 
 # The field: stretches of words, candidate spans, features.
 
-WORD = re.compile(r"\S+")
 NEAR = re.compile(r"[0-9@]")
 LONGEST = 4
-# A word longer than this is no personal data of these kinds and ends a stretch.
+# A word longer than this is no personal data of these kinds, but what stands between
+# marks inside it may be: fields of data without spaces, parts of an address.
 LONG_WORD = 80
+BETWEEN = ",;:\"'`{}[]()<>=|&?/\\"
+WORD = re.compile(rf"\S{{1,{LONG_WORD + 1}}}")
+PART = re.compile(rf"[^\s{re.escape(BETWEEN)}]{{1,{LONG_WORD + 1}}}")
 EDGE = "\"'`.,;:!?<>[]{}|*#&%$"
 LABELS = 1 + len(KINDS)  # 0: none
 
 
 @dataclass(frozen=True)
 class Learning:
-    """``sample`` bounds the texts the field learns from, ``stretches`` those of one text.
+    """``sample`` bounds the texts the field learns from, ``longest`` their characters,
+    ``stretches`` those of one text and ``words`` the words of a stretch: what is beyond teaches nothing.
 
     ``margin`` is by how much a span's score must exceed that of no span.
     """
 
     sample: int = 2000
+    longest: int = 50_000
     stretches: int = 20
+    words: int = 50
     epochs: int = 8
     rate: float = 0.3
     margin: float = 4.0
@@ -113,16 +119,24 @@ class Learning:
 
 
 def stretches(text: str) -> Iterator[list[tuple[int, int]]]:
-    """Runs of neighbouring words that hold a digit or an at sign, without edge marks."""
+    """Runs of neighbouring words that hold a digit or an at sign, without edge marks.
+
+    Of a long word each part between marks is a run of its own.
+    """
     run, last = [], -1
+
+    def around(at: int, ends: str, whole: re.Pattern) -> tuple[int, int]:
+        a = at
+        while a > 0 and not text[a - 1].isspace() and text[a - 1] not in ends and at - a <= LONG_WORD:
+            a -= 1
+        return a, whole.match(text, at).end()
+
     for mark in NEAR.finditer(text):
         if mark.start() < last:
             continue
-        a = b = mark.start()
-        while a > 0 and not text[a - 1].isspace() and b - a <= LONG_WORD:
-            a -= 1
-        found = WORD.match(text, b)
-        b = found.end()
+        a, b = around(mark.start(), "", WORD)
+        if b - a > LONG_WORD:
+            a, b = around(mark.start(), BETWEEN, PART)
         near = run and text[last:a].strip() == "" and a - last <= 2
         last = b
         word = text[a:b]
@@ -299,9 +313,10 @@ def train(texts: list[str], how: Learning) -> Field:
         for n, run in enumerate(stretches(text)):
             if n == how.stretches:
                 break
-            gold = gold_spans(run[:50], spans)
+            run = run[: how.words]
+            gold = gold_spans(run, spans)
             if gold is not None:
-                examples.append((*candidates(text, run[:50]), len(run[:50]), gold))
+                examples.append((*candidates(text, run), len(run), gold))
     field, chance = Field.empty(), np.random.default_rng(how.seed)
     steps, step = how.epochs * len(examples), 0
     for _ in range(how.epochs):
@@ -320,16 +335,18 @@ def _train(table: pa.Table, how: Learning) -> pa.Table:
 
 
 def fit(docs: DataFrame, folder: str, how: Learning = Learning()) -> Field:
-    """Learn from at most ``how.sample`` texts with a digit or an at sign, by smallest hash.
+    """Learn from at most ``how.sample`` different texts with a digit or an at sign, by smallest hash.
 
-    The texts go to one task, which their number bounds; without any, the field
-    adds nothing.
+    Hashes are chosen first, so that copies teach once and only chosen texts are
+    sent on. These go to one task, which their number and ``how.longest`` bound;
+    without any, the field adds nothing.
     """
-    turn = F.xxhash64("text")
     texts = docs.select(F.col("text").cast("string").alias("text")).where(F.col("text").rlike(GATE))
-    # Very long texts are left to those who learn from shorter ones.
-    sample = texts.where(F.length("text") <= 50_000).withColumn("turn", turn)
-    sample = stage(sample.orderBy("turn", "text").limit(how.sample), f"{folder}/sample")
+    texts = texts.where(F.length("text") <= how.longest).withColumn("turn", F.xxhash64("text"))
+    chosen = texts.select("turn").distinct().orderBy("turn").limit(how.sample)
+    chosen = stage(chosen, f"{folder}/chosen")
+    sample = texts.join(F.broadcast(chosen), "turn").groupBy("turn").agg(F.min("text").alias("text"))
+    sample = stage(sample.select("text", "turn"), f"{folder}/sample")
     together = sample.withColumn("field", F.lit(1)).groupBy("field")
 
     def one(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
