@@ -8,6 +8,7 @@ import samples
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from tillwarden import schemas
 from tillwarden.functions.calendar import with_event_time
 from tillwarden.operators.alerts import all_alerts
 from tillwarden.sources import kafka, messages
@@ -134,3 +135,17 @@ def test_a_time_that_is_no_time_is_listed_and_kept(spark):
     good, rejects = messages.split_valid(messages.decode_rule_fields(topic))
     assert good.first().event_time is None and good.first().amount == 6000
     assert rejects.first().reject_reason == "unreadable: timestamp"
+
+
+@pytest.mark.parametrize(
+    ("text", "names"),
+    [("no json", ""), ('{"transaction_id": "x"}', "without a usable"), ('{"amount": "much"}', "without a usable")],
+)
+def test_failing_on_a_message_that_cannot_be_judged(spark, text, names):
+    whole = json.dumps(dict(zip(schemas.TRANSACTION.names, samples.wire_row("t"))))
+    good = spark.createDataFrame([(whole,)], "value string")
+    assert messages.decode_rule_fields(good, fail=True).first().amount == 10.0
+    bad = spark.createDataFrame([(whole,), (text,)], "value string")
+    with pytest.raises(Exception, match=names):
+        messages.decode_rule_fields(bad, fail=True).collect()
+    assert messages.decode_rule_fields(bad).count() == 2

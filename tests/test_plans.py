@@ -19,6 +19,11 @@ EAGER = {
     "alert_audit_log",
     "amount_percentile",
     "batch_run",
+    "batch_rerun",
+    "detection_job",
+    "detection_rate",
+    "alert_messages",
+    "response_times",
     "stream_rejects",
     "enrich_transactions",
     "table_roundtrip",
@@ -168,3 +173,11 @@ def test_bursts_sort_no_rows(spark, small, no_broadcast):
     assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text
     below = text[text.index("ShuffledHashJoin") :]
     assert "Sort" not in below.replace("ShuffledHashJoin", "") and below.count("HashAggregate") == 2
+
+
+def test_quantile_digests_are_merged_in_two_levels(spark, small, no_broadcast):
+    """Groups of tasks merge their digests first; ranks do not depend on it."""
+    rows = sample.placeless_transactions(spark, small)
+    text = plan(ranking._edges(ranking.value_counts(rows, "amount"), "amount", 100))
+    assert text.count("percentile_approx") > text.count("partial_percentile_approx") >= 2
+    assert "hashpartitioning(merged_in" in text

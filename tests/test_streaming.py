@@ -267,3 +267,35 @@ def test_a_replayed_message_is_notified_once(spark, tmp_path):
         assert _monitored(spark, stream, tmp_path) == (want, 4 * (number + 1))
     batch = monitor.first_of_each(messages.decode_alerts(spark.read.text(str(folder))))
     assert batch.count() == 4
+
+
+def test_the_detection_rate_shows_a_rule_that_the_stream_lacks(spark, topic, database, tmp_path):
+    from tillwarden.operators import enrich
+    from tillwarden.plans import metrics
+
+    rows = [samples.wire_row(f"n{i}", "u", 2000.0, hour=3) for i in range(3)] + [samples.wire_row("h", "u", 9000.0)]
+    topic.send(*rows)
+    warehouse.create_tables(spark, "t_blind", str(tmp_path / "blind"))
+    labelled = enrich.with_label(samples.transactions(spark, rows))
+    for name, cfg, rate in (("t_blind", RuleConfig(odd_hour_amount=1e12), 25.0), (database, RuleConfig(), 100.0)):
+        detect.start_to_table(topic.stream(), name, str(tmp_path / f"c-{name}"), cfg, once=True).awaitTermination()
+        found = metrics.detection_rate(labelled, warehouse.alerts(spark, name)).first()
+        assert (found.fraud_transactions, found.detection_rate_percent) == (4, rate)
+
+
+def test_response_times_of_new_alerts_are_merged_into_kept_sketches(spark, tmp_path):
+    from tillwarden.plans import metrics
+    from tillwarden.sources.snapshots import Snapshots
+
+    kept = Snapshots(spark, str(tmp_path / "kept"))
+    made = lambda n, kind: spark.range(n).selectExpr(
+        f"'{kind}' AS alert_type", "'2024-03-01T10:00:00' AS timestamp",
+        "timestamp_seconds(unix_timestamp(timestamp'2024-03-01 10:00:00') + id / 10D) AS alert_timestamp",
+    )
+    for n in (5000, 5000):
+        metrics.add_response_times(kept, made(n, "A").unionByName(made(3, "B")))
+    found = {r.alert_type: r for r in metrics.response_quantiles(kept.read(metrics.SKETCHES)).collect()}
+    assert (found["A"].alerts, found["B"].alerts) == (10000, 6)
+    assert abs(found["A"].p50_seconds - 250) < 500 * metrics.RANK_ERROR
+    assert abs(found["A"].p95_seconds - 475) < 500 * metrics.RANK_ERROR
+    assert found["B"].p50_seconds == pytest.approx(0.1)

@@ -17,6 +17,28 @@ def _quantiles(column: str, steps: int) -> str:
     return f"percentile_approx({column}, array({places}), {max(10000, 4 * steps)})"
 
 
+def _edges(counts: DataFrame, column: str, steps: int) -> DataFrame:
+    """One row: the number of rows ``n``, and ``edges``, about ``steps`` quantiles of the distinct values.
+
+    Each task's digest goes to one of as many groups as the root of the number of
+    tasks; a group merges its digests to quantiles, and the quantiles of all groups
+    are merged once more. So no task reads more digests than that root. Values lie
+    in tasks by hash, so groups weigh the same. Edges only balance buckets.
+    """
+    partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = ceil(sqrt(partitions))
+    grouped = (
+        counts.withColumn("merged_in", F.spark_partition_id() % groups)
+        .groupBy("merged_in")
+        .agg(F.sum("rows_at").alias("held"), F.expr(_quantiles(column, steps)).alias("edges"))
+    )
+    each = grouped.select("held", F.posexplode_outer("edges").alias("place", "edge"))
+    first = F.coalesce(F.col("place"), F.lit(0)) == 0
+    return each.agg(
+        F.sum(F.when(first, F.col("held"))).alias("n"), F.expr(_quantiles("edge", steps)).alias("edges")
+    )
+
+
 def _placed(counts: DataFrame, column: str, width: int) -> DataFrame:
     """Distinct values with their bucket: how many of ``width**2`` edges lie below.
 
@@ -25,9 +47,7 @@ def _placed(counts: DataFrame, column: str, width: int) -> DataFrame:
     a bucket, and the result depends on the value alone.
     """
     cut = (
-        counts.agg(
-            F.sum("rows_at").alias("n"), F.expr(_quantiles(column, width * width)).alias("edges")
-        )
+        _edges(counts, column, width * width)
         .selectExpr(
             f"""struct(n, transform(sequence(0, {width - 1}),
                 i -> slice(edges, i * {width} + 1, {width})) AS blocks) AS cut"""

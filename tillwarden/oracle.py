@@ -309,6 +309,28 @@ ORACLE: dict[str, str] = {
           {_cents('sum(CASE WHEN is_fraud = 1 THEN c ELSE 0 END)')} AS total_fraud_amount
         FROM judged GROUP BY processing_date""",
     ),
+    "batch_rerun": _with(
+        TX,
+        STATS,
+        ENRICHED,
+        select=f"SELECT * REPLACE ({TODAY} AS processing_date) FROM enriched",
+    ),
+    "detection_job": _with(
+        TX,
+        f"usable AS (SELECT * EXCLUDE m FROM {DAMAGED} WHERE m NOT IN (0, 2))",
+        POINT.replace("FROM tx", "FROM usable"),
+        RAPID.replace("FROM tx", "FROM usable"),
+        ALERTS,
+        select="SELECT * FROM alerts",
+    ),
+    "alert_messages": _alerts("SELECT *, true AS key_is_user FROM alerts"),
+    "response_times": _with(
+        TX,
+        POINT,
+        select="""SELECT alert_type, count(*) AS alerts, true AS p50_seconds_in_bound,
+            true AS p95_seconds_in_bound, true AS p99_seconds_in_bound
+            FROM point GROUP BY alert_type""",
+    ),
     "stream_rejects": _tx(
         "SELECT CASE WHEN m > 0 THEN transaction_id END AS transaction_id, "
         "CASE WHEN m > 0 THEN user_id END AS user_id, "

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwarden.functions.buckets import percent
+from tillwarden.sources.snapshots import Snapshots
 
 
 def throughput(transactions: DataFrame, every: str = "1 hour") -> DataFrame:
@@ -62,6 +63,49 @@ def response_time(alerts: DataFrame) -> DataFrame:
     )
 
 
+# Of each quantile the rank is off by at most this share of the alerts (double-sided, for sketches of size 200).
+RANK_ERROR = 0.0165
+SKETCH_SIZE = 200
+QUANTILES = {"p50_seconds": 0.5, "p95_seconds": 0.95, "p99_seconds": 0.99}
+SKETCHES = "alert_type string, hour timestamp, alerts long, sketch binary"
+
+
+def seconds_waited() -> Column:
+    """From the event to its alert."""
+    return F.col("alert_timestamp").cast("double") - F.try_to_timestamp("timestamp").cast("double")
+
+
+def response_sketches(alerts: DataFrame) -> DataFrame:
+    """A quantile sketch of the seconds waited per alert type and hour, to be kept and merged."""
+    rows = alerts.where(F.col("timestamp").isNotNull()).select(
+        "alert_type",
+        F.date_trunc("hour", F.try_to_timestamp("timestamp")).alias("hour"),
+        seconds_waited().alias("seconds"),
+    )
+    return rows.where(F.col("seconds").isNotNull()).groupBy("alert_type", "hour").agg(
+        F.count("*").alias("alerts"), F.kll_sketch_agg_double("seconds", SKETCH_SIZE).alias("sketch")
+    )
+
+
+def merged_sketches(sketches: DataFrame, *keys: str) -> DataFrame:
+    return sketches.groupBy(*keys).agg(
+        F.sum("alerts").alias("alerts"), F.kll_merge_agg_double("sketch", SKETCH_SIZE).alias("sketch")
+    )
+
+
+def add_response_times(kept: Snapshots, alerts: DataFrame) -> None:
+    """Merge the sketches of new alerts into the kept table: old alerts are not read again."""
+    new, before = response_sketches(alerts), kept.read(SKETCHES)
+    kept.publish(new if before is None else merged_sketches(before.unionByName(new), "alert_type", "hour"))
+
+
+def response_quantiles(sketches: DataFrame, *keys: str) -> DataFrame:
+    """Median, 95th and 99th percentile per alert type (and ``keys``), by merging sketches."""
+    merged = merged_sketches(sketches, "alert_type", *keys)
+    found = [F.kll_sketch_get_quantile_double("sketch", F.lit(q)).alias(c) for c, q in QUANTILES.items()]
+    return merged.select("alert_type", *keys, "alerts", *found)
+
+
 def row_counts(rows: DataFrame, is_test) -> DataFrame:
     """Rows in total and on either side of the train/test split, in one pass."""
     return rows.agg(

@@ -26,6 +26,7 @@ from tillwarden.operators.lookup import stage
 from tillwarden.plans import batch, metrics, reports, training
 from tillwarden.session import apply_settings, shared_folder
 from tillwarden.sources import messages, sample, warehouse
+from tillwarden.sources.snapshots import Snapshots
 from tillwarden.streaming import detect, monitor
 
 AS_OF = dt.date(2024, 1, 30)
@@ -280,6 +281,20 @@ def batch_run(spark, sf_dir):
     return made["daily_summary"]
 
 
+@query
+def batch_rerun(spark, sf_dir):
+    """Two runs under two dates, the second with the other half of the messages: as if all had come at once."""
+    folder, topic = shared_folder(spark, "rerun"), shared_folder(spark, "topic")
+    database = f"tillwarden_{uuid.uuid4().hex[:12]}"
+    rows = sample.full_transactions(spark, sf_dir).select(*schemas.TRANSACTION.names)
+    half = F.col("transaction_id").cast("bigint") % 2 == 0
+    for part, day in ((half, AS_OF - dt.timedelta(days=1)), (~half, AS_OF)):
+        messages.to_messages(rows.where(part)).write.mode("append").text(topic)
+        stream = spark.readStream.text(topic)
+        batch.run_batch(stream, database, f"{folder}/_checkpoint", AS_OF, f"{folder}/tables", processing_date=day)
+    return warehouse.table(spark, database, warehouse.PROCESSED)
+
+
 @query
 def row_counts(spark, sf_dir):
     rows = sample.placeless_transactions(spark, sf_dir)
@@ -319,6 +334,28 @@ def stream_notifications(spark, sf_dir):
     return spark.read.schema(layout).json(f"{folder}/notifications")
 
 
+@query
+def detection_job(spark, sf_dir):
+    """The whole job on a topic with damaged messages: decode, detect, write, drain."""
+    database, checkpoints = _warehouse(spark)
+    topic, checkpoint = sample.message_stream(spark, sf_dir), f"{checkpoints}/job"
+    running = detect.start_to_table(topic, database, checkpoint, DAILY, lateness="1 day", once=True)
+    running.awaitTermination()
+    detect.drain(spark, database, checkpoint, DAILY)
+    return warehouse.alerts(spark, database).drop("alert_timestamp")
+
+
+@query
+def alert_messages(spark, sf_dir):
+    """Alerts sent as keyed JSON messages, written, read back and decoded."""
+    folder = shared_folder(spark, "messages")
+    messages.to_messages(_alerts(spark, sf_dir), key="user_id").write.parquet(folder)
+    sent = spark.read.schema("key string, value string").parquet(folder)
+    keyed = sent.select("key", messages.decoded_alert("value").alias("alert"))
+    same_key = F.col("key").eqNullSafe(F.col("alert.user_id")).alias("key_is_user")
+    return keyed.select("alert.*", same_key).drop("alert_timestamp")
+
+
 @query
 def stream_rejects(spark, sf_dir):
     """Messages the detection stream cannot use, with the reason."""
@@ -450,5 +487,26 @@ def throughput_hourly(spark, sf_dir):
 
 @query
 def detection_rate(spark, sf_dir):
-    rows = _labelled(spark, sf_dir)
-    return metrics.detection_rate(rows, alerts.point_alerts(rows))
+    """The labels of the batch against the alerts that the stream wrote."""
+    database, _ = _stream_alerts(spark, sf_dir)
+    return metrics.detection_rate(_labelled(spark, sf_dir), warehouse.alerts(spark, database))
+
+
+@query
+def response_times(spark, sf_dir):
+    """Seconds to each alert on a clock that follows from its id, from sketches kept per type and hour."""
+    found = _alerts(spark, sf_dir).where("transaction_id IS NOT NULL")
+    waited = (F.conv(F.substring("alert_id", 1, 8), 16, 10).cast("long") % 100_000).cast("double") / 1000
+    late = F.timestamp_seconds(F.try_to_timestamp("timestamp").cast("double") + waited)
+    kept = Snapshots(spark, shared_folder(spark, "response"))
+    rows = found.withColumn("alert_timestamp", late)
+    for part in (rows.where("amount < 2000"), rows.where("amount >= 2000 OR amount IS NULL")):
+        metrics.add_response_times(kept, part)
+    estimated = metrics.response_quantiles(kept.read(metrics.SKETCHES))
+    exact = rows.groupBy("alert_type").agg(F.sort_array(F.collect_list(metrics.seconds_waited())).alias("all"))
+    rank = lambda c: F.size(F.filter("all", lambda s: s <= F.col(c))) / F.size("all")
+    near = [
+        (F.abs(rank(c) - q) <= metrics.RANK_ERROR + 1 / F.size("all")).alias(f"{c}_in_bound")
+        for c, q in metrics.QUANTILES.items()
+    ]
+    return estimated.join(exact, "alert_type").select("alert_type", "alerts", *near)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,20 +48,28 @@ def decode_transactions(
     return _decode(messages, schemas.TRANSACTION, keep, fail)
 
 
-def decode_rule_fields(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def decode_rule_fields(
+    messages: DataFrame, keep: Sequence[str] = (), fail: bool = False
+) -> DataFrame:
     """The seven fields the alert rules read, lenient about numbers sent as text.
 
     ``"12.5"`` and ``12.5`` are the same amount; text that is no number gives NULL,
-    which :func:`split_valid` then sets aside.
+    which :func:`split_valid` then sets aside. With ``fail`` a message that is no JSON,
+    or lacks one of the fields, stops the job instead, and names the field.
     """
     as_text = T.StructType([T.StructField(f, T.StringType()) for f in schemas.RULE_FIELDS])
-    decoded = _decode(messages, as_text, keep)
-    return decoded.withColumns(
+    decoded = _decode(messages, as_text, keep, fail)
+    decoded = decoded.withColumns(
         {
             "amount": F.col("amount").try_cast("double"),
             "hour_of_day": F.col("hour_of_day").try_cast("double").try_cast("int"),
         }
     )
+    if not fail:
+        return decoded
+    lacking = lambda c: F.raise_error(F.lit(f"a message without a usable {c}"))
+    needed = {c: F.when(F.col(c).isNull(), lacking(c)).otherwise(F.col(c)) for c in schemas.RULE_FIELDS}
+    return decoded.withColumns(needed)
 
 
 def decode_alerts(messages: DataFrame) -> DataFrame:
@@ -69,6 +77,11 @@ def decode_alerts(messages: DataFrame) -> DataFrame:
     return _decode(messages, schemas.ALERT, ())
 
 
+def decoded_alert(value: str) -> Column:
+    """An alert's text as a struct of the columns of the alert table's messages, date included."""
+    return F.from_json(value, schemas.ALERT_TABLE)
+
+
 def with_reject_reason(
     decoded: DataFrame, required: Sequence[str] = schemas.RULE_FIELDS
 ) -> DataFrame:
