@@ -164,3 +164,33 @@ def test_the_fit_does_not_depend_on_how_rows_come(rows):
     other = training.train(rows.repartition(5), **QUICK, rows_per_partition=200)
     assert one.aucs["RandomForest"] == other.aucs["RandomForest"]
     assert abs(one.aucs["LogisticRegression"] - other.aucs["LogisticRegression"]) < 1e-9
+
+
+def test_a_million_categories_stay_out_of_the_driver(spark, tmp_path, monkeypatch):
+    """Places by falling count, then by name, for more values than are ever collected."""
+    from pyspark.sql import DataFrame
+
+    from tillwarden.operators.categories import CategoryIndexer
+
+    n = 1_000_000
+    rows = spark.range(n + 5000).selectExpr(
+        "cast(id AS string) AS transaction_id",
+        f"CASE WHEN id < {n} THEN concat('place ', lpad(id, 7, '0')) WHEN id < {n} + 3000 THEN 'place 0500000' "
+        f"WHEN id < {n} + 4000 THEN 'a' WHEN id < {n} + 4900 THEN 'b' END AS location",
+    )
+
+    def refused(self, *_):
+        raise AssertionError("rows were brought to the driver")
+
+    with monkeypatch.context() as patch:
+        for name in ("collect", "toPandas"):
+            patch.setattr(DataFrame, name, refused)
+        model = CategoryIndexer(["location"], ["location_idx"]).fit(rows)
+        indexed = model.transform(rows)
+    assert model.getOrDefault(model.sizes) == [n + 2]
+    found = indexed.groupBy("location").agg(F.max("location_idx").alias("i"), F.min("location_idx").alias("j"))
+    asked = ["place 0500000", "a", "b", "place 0000000", "place 0000001", "place 0500001", "place 0999999"]
+    got = {r.location: (r.i, r.j) for r in found.where(F.col("location").isNull() | F.col("location").isin(asked)).collect()}
+    want = [0, 1, 2, 3, 4, 500003, n + 1]
+    assert got == {**{v: (float(i), float(i)) for v, i in zip(asked, want)}, None: (float(n + 2), float(n + 2))}
+    assert indexed.count() == n + 5000

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwarden.config import RuleConfig
+from tillwarden.operators.categories import CategoryIndexer
 
 LABEL = "is_fraud"
 CATEGORIES = ["merchant_category", "location", "channel", "card_type"]
@@ -80,9 +81,9 @@ def derive(cfg: RuleConfig = RuleConfig()) -> SQLTransformer:
     )
 
 
-def string_indexer() -> StringIndexer:
+def string_indexer() -> CategoryIndexer:
     """Most frequent value first, ties alphabetical; a value not seen in training is kept."""
-    return StringIndexer(inputCols=CATEGORIES, outputCols=INDEXES, handleInvalid="keep")
+    return CategoryIndexer(CATEGORIES, INDEXES)
 
 
 def feature_stages(cfg: RuleConfig = RuleConfig()) -> Pipeline:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tillwarden.config import RuleConfig
 from tillwarden.operators import learning
+from tillwarden.operators.categories import CategoryModel
 
 
 @dataclass(frozen=True)
@@ -73,9 +75,15 @@ def train(
 
 
 def save(spark: SparkSession, trained: Trained, folder: str) -> str:
-    """Overwrite the model of that name; append a line about it to ``metadata``."""
+    """Overwrite the model of that name; append a line about it to ``metadata``.
+
+    The dictionaries of its categories are copied to a folder of their own beside it,
+    so that a model loaded before still finds those it was saved with.
+    """
     path = f"{folder.rstrip('/')}/{trained.name.lower()}"
-    trained.model.write().overwrite().save(path)
+    place = f"{folder.rstrip('/')}/categories/{uuid.uuid4().hex}"
+    stages = [s.kept_in(spark, place) if isinstance(s, CategoryModel) else s for s in trained.model.stages]
+    PipelineModel(stages).write().overwrite().save(path)
     about = spark.range(1).select(
         F.lit(trained.name).alias("model_name"),
         F.lit(path).alias("model_path"),
