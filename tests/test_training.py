@@ -166,6 +166,50 @@ def test_the_fit_does_not_depend_on_how_rows_come(rows):
     assert abs(one.aucs["LogisticRegression"] - other.aucs["LogisticRegression"]) < 1e-9
 
 
+def test_rows_are_fitted_in_the_order_of_their_features(rows, monkeypatch):
+    """Neighbours take the same ways through the trees; rows that share an id have a place of their own too."""
+    shared = rows.withColumn("transaction_id", F.substring("transaction_id", 1, 1))
+    seen = []
+
+    class Spy:
+        def __init__(self, estimator):
+            self.estimator = estimator
+
+        def fit(self, fit_on):
+            seen.append([[tuple(r.features) for r in part] for part in fit_on.rdd.glom().collect()])
+            return self.estimator.fit(fit_on)
+
+    monkeypatch.setattr(
+        learning, "classifiers", lambda *_: {"RandomForest": Spy(learning.random_forest(2, 2)), "LogisticRegression": Spy(learning.logistic_regression(2))}
+    )
+    for parts in (2, 5):
+        training.train(shared.repartition(parts), rows_per_partition=200)
+    assert sum(map(len, seen[0])) == learning.split(shared)[0].count()
+    assert all(part == sorted(part) for part in seen[0])
+    assert all([[[f"{x:.9g}" for x in r] for r in part] for part in one] == [[[f"{x:.9g}" for x in r] for r in part] for part in seen[0]] for one in seen)
+
+
+def test_fits_and_scoring_read_one_table(spark, small, monkeypatch):
+    """The transactions are derived once; what is scored is the table the fits have read."""
+    from tillwarden import registry
+
+    derived, train = [], training.train
+
+    def counted(*args):
+        derived.append(args)
+        return registry.enrich.with_label(sample.full_transactions(*args))
+
+    monkeypatch.setattr(registry, "_categorized", counted)
+    monkeypatch.setattr(training, "train", lambda extract: train(extract, **QUICK))
+    scored = registry.QUERIES["ml_score"](spark, small)
+    assert len(derived) == 1
+    assert not any("events.parquet" in f or "customer.parquet" in f for f in scored.inputFiles())
+    everything = learning.training_extract(enrich.with_label(sample.full_transactions(spark, small)))
+    want = learning.split(everything)[1].select("transaction_id", learning.LABEL)
+    got = scored.where("prediction_valid AND probability_valid AND agrees").select(want.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
 def test_a_million_categories_stay_out_of_the_driver(spark, tmp_path, monkeypatch):
     """Places by falling count, then by name, for more values than are ever collected."""
     from pyspark.sql import DataFrame

@@ -86,14 +86,17 @@ def string_indexer() -> CategoryIndexer:
     return CategoryIndexer(CATEGORIES, INDEXES)
 
 
+def model_inputs() -> list[str]:
+    """The columns the feature vector is made of, in the order of ``FEATURES``."""
+    return [FILLED.get(f, f) for f in FEATURES]
+
+
 def feature_stages(cfg: RuleConfig = RuleConfig()) -> Pipeline:
     return Pipeline(
         stages=[
             derive(cfg),
             string_indexer(),
-            VectorAssembler(
-                inputCols=[FILLED.get(f, f) for f in FEATURES], outputCol="features_raw"
-            ),
+            VectorAssembler(inputCols=model_inputs(), outputCol="features_raw"),
             StandardScaler(inputCol="features_raw", outputCol="features"),
         ]
     )

@@ -424,22 +424,22 @@ def ml_auc(spark, sf_dir):
     return rows.agg(F.count("*").alias("rows")).withColumn("auc", F.round(F.lit(auc), 6))
 
 
-def _train(spark: SparkSession, sf_dir: str) -> training.Trained:
-    """The fits go over their rows many times: from a table, as in a real run."""
+def _extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fits and scoring go over these rows many times: from a table, as in a real run."""
     extract = learning.training_extract(_categorized(spark, sf_dir))
-    return training.train(stage(extract, shared_folder(spark, "training")))
+    return stage(extract, shared_folder(spark, "training"))
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = learning.training_extract(_categorized(spark, sf_dir))
+    rows = _extract(spark, sf_dir)
     _, test_rows = learning.split(rows)
-    return _train(spark, sf_dir).model.transform(test_rows)
+    return training.train(rows).model.transform(test_rows)
 
 
 @query
 def ml_model_selection(spark, sf_dir):
     """What SQL can follow of the choice: the names, useful scores, the strict rule."""
-    trained = _train(spark, sf_dir)
+    trained = training.train(_extract(spark, sf_dir))
     forest, regression = (trained.aucs[n] for n in ("RandomForest", "LogisticRegression"))
     layout = T.StructType(
         [
