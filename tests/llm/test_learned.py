@@ -54,6 +54,45 @@ def test_op2_exact_for_large_numbers():
     assert scores.tolist() == [[(1 << 61) + 3, (1 << 61) + 2]] and ids.tolist() == [[1, 2]] and filled.all()
 
 
+def test_op2_multiplies_leaves_with_whole_tiles(monkeypatch):
+    chance = np.random.default_rng(3)
+    vectors = chance.integers(-90, 90, (4000, 24))
+    vectors[500:900] = vectors[500]
+    ids = chance.permutation(4000) * 3 - 500
+    asked, own = vectors[:1500], ids[:1500]
+    calls, plain = [], topk.BallTree.products
+    monkeypatch.setattr(topk.BallTree, "products", lambda *args: calls.append(1) or plain(*args))
+    tree = topk.BallTree.build(ids, vectors)
+    floor = np.full(1500, np.iinfo(np.int64).min)
+    scores, found, filled = tree.search(own, asked, 5, floor)
+    made = asked @ vectors.T
+    made[own[:, None] == ids] = np.iinfo(np.int64).min
+    want = np.array([np.lexsort((ids, ~row))[:5] for row in made])
+    assert (found == ids[want]).all() and (scores == np.take_along_axis(made, want, 1)).all() and filled.all()
+    leaves = int((tree.left < 0).sum())
+    assert len(calls) <= 2 * leaves * math.ceil(1500 / 1024)
+    # Once the k-th scores are known, no leaf is multiplied twice with a query.
+    calls.clear()
+    again, _, _ = tree.search(own, asked, 5, scores[:, -1])
+    assert (again == scores).all() and len(calls) <= leaves * math.ceil(1500 / 1024)
+
+
+def test_op2_groups_of_trees_pass_on_their_floors(spark, tmp_path):
+    chance = random.Random(5)
+    rows = [(i - 900, [chance.choice([-3, 0, 1, 2]) for _ in range(8)]) for i in range(2000)]
+    rows += [(5000 + i, [2**31 + i, 3]) for i in range(40)] + [(6000 + i, [1 << 30, -i]) for i in range(40)]
+    vectors = ready(spark).createDataFrame(rows, "vec_id long, v array<long>")
+    asked = vectors.where("vec_id % 4 = 0 and size(v) = 8 or vec_id >= 6000")
+    v = {i: x for i, x in rows}
+    want = set()
+    for q in (i for i, x in rows if (i % 4 == 0 and len(x) == 8) or i >= 6000):
+        scored = [(-sum(a * b for a, b in zip(v[q], w, strict=True)), i) for i, w in rows if i != q and len(w) == len(v[q])]
+        want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scored)[:3])}
+    got = topk.top_products(vectors, asked, str(tmp_path / "many"), k=3, shard=50, block=30)
+    assert {tuple(r) for r in got.collect()} == want
+    assert spark.read.parquet(str(tmp_path / "many/first")).count() > 0
+
+
 def test_op4_held_out_accuracy(spark):
     sf_dir = "/root/testdata/sf0.1"
     got = queries.QUERIES["op4_quality"](spark, sf_dir)
